@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from millrace.llm.decontaminate import op10_decontamination
+from millrace.llm.html import op1_html
 from millrace.llm.media import op7_media
+from millrace.llm.simhash import op3_simhash
 from millrace.llm.spm import op2_sentencepiece
 
 QUERIES = {
+    "op1_html": op1_html,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_simhash": op3_simhash,
     "op7_media": op7_media,
     "op10_decontamination": op10_decontamination,
 }

@@ -164,25 +164,23 @@ def second_pass(blocks: list[Block], labels: list[int], level: int) -> list[bool
     """Ambiguous blocks inherit from the nearest decided neighbours."""
     if level:  # the element that they lie in has decided
         return [x != BAD for x in labels]
-    n = len(labels)
-    before, after, last = [BAD] * n, [BAD] * n, BAD
-    for i in range(n):
-        before[i] = last
-        last = labels[i] if labels[i] in (GOOD, BAD) else last
-    last = BAD
-    for i in range(n - 1, -1, -1):
-        after[i] = last
-        last = labels[i] if labels[i] in (GOOD, BAD) else last
     any_good = GOOD in labels
-    out = []
-    for i, x in enumerate(labels):
-        if x in (GOOD, BAD):
-            out.append(x == GOOD)
-        elif x == NEAR:
-            out.append(not any_good or GOOD in (before[i], after[i]))
-        else:
-            out.append(before[i] == after[i] == GOOD or blocks[i].heading and after[i] == GOOD)
-    return out
+    before, after = _neighbours(labels)
+    labels = [x if x != NEAR else GOOD if not any_good or GOOD in (before[i], after[i]) else BAD for i, x in enumerate(labels)]
+    before, after = _neighbours(labels)
+    return [x == GOOD or x == SHORT and (before[i] == after[i] == GOOD or blocks[i].heading and after[i] == GOOD) for i, x in enumerate(labels)]
+
+
+def _neighbours(labels: list[int]) -> tuple[list[int], list[int]]:
+    """The nearest decided label before and after each block; beyond the page's ends it is bad."""
+    sides = []
+    for order in (range(len(labels)), range(len(labels) - 1, -1, -1)):
+        near, last = [BAD] * len(labels), BAD
+        for i in order:
+            near[i] = last
+            last = labels[i] if labels[i] in (GOOD, BAD) else last
+        sides.append(near)
+    return sides[0], sides[1]
 
 
 def extract(html: str | None) -> str:
