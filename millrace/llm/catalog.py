@@ -7,11 +7,13 @@ from millrace.llm.html import op1_html
 from millrace.llm.media import op7_media
 from millrace.llm.simhash import op3_simhash
 from millrace.llm.spm import op2_sentencepiece
+from millrace.llm.substrings import op5_substrings
 
 QUERIES = {
     "op1_html": op1_html,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash": op3_simhash,
+    "op5_substrings": op5_substrings,
     "op7_media": op7_media,
     "op10_decontamination": op10_decontamination,
 }
