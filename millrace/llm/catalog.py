@@ -8,11 +8,13 @@ from millrace.llm.media import op7_media
 from millrace.llm.simhash import op3_simhash
 from millrace.llm.spm import op2_sentencepiece
 from millrace.llm.substrings import op5_substrings
+from millrace.llm.toxicity import op4_toxicity
 
 QUERIES = {
     "op1_html": op1_html,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op5_substrings": op5_substrings,
     "op7_media": op7_media,
     "op10_decontamination": op10_decontamination,
