@@ -9,6 +9,8 @@ from millrace.llm.simhash import op3_simhash
 from millrace.llm.spm import op2_sentencepiece
 from millrace.llm.substrings import op5_substrings
 from millrace.llm.toxicity import op4_toxicity
+from millrace.llm.urls import op8_urls
+from millrace.llm.warc import op9_warc
 
 QUERIES = {
     "op1_html": op1_html,
@@ -17,6 +19,8 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_substrings": op5_substrings,
     "op7_media": op7_media,
+    "op8_urls": op8_urls,
+    "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
 }
 ORACLES: dict[str, str] = {}
