@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from millrace.llm import chat
 from millrace.llm.decontaminate import op10_decontamination
 from millrace.llm.html import op1_html
 from millrace.llm.media import op7_media
@@ -18,9 +19,12 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op5_substrings": op5_substrings,
+    "op6_preferences": chat.op6_preferences,
     "op7_media": op7_media,
     "op8_urls": op8_urls,
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_preferences": chat.ORACLE,
+}

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import id_text, map_arrow, table
+from millrace.session import ship
 
 WINDOW = 10
 #: Bound on what is sent to each task at once: about 60 MB of tables.
@@ -96,13 +97,18 @@ class Matcher:
             for at, items in search.scan(numbers):
                 spans.append((at, at + search.length))
                 found.update(items)
-        merged: list[tuple[int, int]] = []
-        for a, b in sorted(spans):
-            if merged and a <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-            else:
-                merged.append((a, b))
-        return merged, found
+        return _merged(spans), found
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping and touching ranges joined, in order."""
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+        else:
+            merged.append((a, b))
+    return merged
 
 
 def _groups(items: DataFrame, window: int) -> list[list[tuple[str, str | None]]]:
@@ -121,33 +127,51 @@ def _groups(items: DataFrame, window: int) -> list[list[tuple[str, str | None]]]
 SPANS = "doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<string>"
 
 
-def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, hit word ranges [a, b) and the ids of the items found (as strings)."""
-    items = items.select(F.col(f"`{item_col}`").cast("string"), F.col(f"`{item_text}`").cast("string"))
-    found = None
-    groups = _groups(items, window)
-    for group in groups:
-        search = docs.sparkSession.sparkContext.broadcast(group)
+def _items(items: DataFrame, item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    return items.select(F.col(f"`{item_col}`").cast("string"), F.col(f"`{item_text}`").cast("string"))
+
+
+def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_words, hit word ranges [a, b) and the ids of the items found (as strings).
+
+    Each group of items adds its hits to a copy of the rows that carries what earlier groups found."""
+    base = id_text(docs).withColumn("found", F.lit(None).cast("array<struct<a:long,b:long>>")).withColumn("names", F.lit(None).cast("array<string>"))
+    groups = _groups(_items(items), window)
+    for k, group in enumerate(groups):
+        sent, last = docs.sparkSession.sparkContext.broadcast(group), k == len(groups) - 1
 
-        def run(batch: pa.RecordBatch, search=search) -> dict:
-            matcher = _matcher(search.value, window)
+        def run(batch: pa.RecordBatch, sent=sent, last=last) -> dict:
+            matcher = _matcher(sent.value, window)
             n, spans, names = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text, before, known in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
                 words = words_of(text)
                 where, which = matcher.find(words)
+                where = _merged([*where, *((s["a"], s["b"]) for s in before or ())])
                 n.append(len(words))
                 spans.append([{"a": a, "b": b} for a, b in where])
-                names.append(sorted({matcher.names[k] for k in which}))
-            return {"doc_id": batch.column(0), "n_words": n, "spans": spans, "items": names}
-
-        part = id_text(docs)
-        if len(groups) > 1:  # rows are told apart by their whole content
-            part = part.select("doc_id", "text")
-        part = map_arrow(part, run, SPANS)
-        found = part if found is None else found.unionByName(part)
-    if len(groups) > 1:
-        raise ValueError("more benchmark words than MAX_PATTERN_WORDS: call hits() for each part of the items")
-    return found
+                names.append(sorted({matcher.names[x] for x in which} | set(known or ())))
+            out = {"doc_id": batch.column(0), "n_words": n, "spans": spans, "items": names}
+            return out if last else out | {"text": batch.column(1), "found": spans, "names": names}
+
+        base = map_arrow(base, run, SPANS if last else "doc_id long, text string, found array<struct<a:long,b:long>>, names array<string>")
+    return base
+
+
+def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no window of the items occurs, with all their columns."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text_col)
+    for group in _groups(_items(items), window):
+        sent = docs.sparkSession.sparkContext.broadcast(group)
+
+        def run(batches, sent=sent):
+            matcher = _matcher(sent.value, window)
+            for batch in batches:
+                keep = [not matcher.find(words_of(t))[0] for t in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array(keep, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
 
 
 _MATCHERS: dict[int, tuple[object, Matcher]] = {}

@@ -52,13 +52,13 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp as a signed long with the fingerprint's bits."""
+    """(doc_id, th, fp): th a 32-bit hash of the text, fp as a signed long with the fingerprint's bits."""
 
     def run(batch: pa.RecordBatch) -> dict:
         fp = np.array([fingerprint(t, size) for t in batch.column(1).to_pylist()], "u8")
-        return {"doc_id": batch.column(0), "fp": fp.view("i8")}
+        return {"doc_id": batch.column(0), "th": batch.column(2), "fp": fp.view("i8")}
 
-    return map_arrow(id_text(docs), run, "doc_id long, fp long")
+    return map_arrow(id_text(docs).withColumn("th", F.hash("text")), run, "doc_id long, th int, fp long")
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -214,17 +214,29 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, limit: int = MAX_DISTANCE) -> DataFrame:
-    """(doc_id, fp, component_id) of each row of ``docs``."""
+def _labelled(docs: DataFrame, size: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of the rows; and for each fingerprint its component's root and smallest id."""
     fps, _ = materialise(fingerprints(docs, size), "fingerprints")
     nodes, _ = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
     stars = components(links(nodes.select("fp"), limit))
     member = nodes.join(stars, nodes["fp"] == stars["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     member, _ = materialise(member, "members")
     least = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    label = member.select(F.col("fp").alias("node"), "root").join(least, "root").select("node", "component_id")
-    label, _ = materialise(label, "labels")
-    return fps.join(label, fps["fp"] == label["node"], "left").select("doc_id", "fp", "component_id")
+    label = member.select(F.col("fp").alias("node"), F.col("root").alias("group")).join(least, F.col("group") == F.col("root")).select("node", "group", "component_id")
+    return fps, materialise(label, "labels")[0]
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, limit: int = MAX_DISTANCE) -> DataFrame:
+    """(doc_id, th, fp, component_id) of each row of ``docs``."""
+    fps, label = _labelled(docs, size, limit)
+    return fps.join(label, fps["fp"] == label["node"], "left").select("doc_id", "th", "fp", "component_id")
+
+
+def representatives(docs: DataFrame, size: int = SHINGLE, limit: int = MAX_DISTANCE) -> DataFrame:
+    """(doc_id, th) of one row of each component: the one with the smallest id."""
+    fps, label = _labelled(docs, size, limit)
+    rows = fps.join(label, fps["fp"] == label["node"]).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return rows.groupBy("group").agg(F.min(F.struct("doc_id", "th")).alias("one")).select("one.doc_id", "one.th")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,7 +96,7 @@ def write(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT) -> DataFr
                 for page_id, url, html, digest, response in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
                     if out is None:
                         name, size, count = f"{uuid.uuid4().hex}.warc.gz", 0, 0
-                        out = store.open_output_stream(f"{root}/{name}")
+                        out = store.open_output_stream(f"{root}/{name}", compression=None)
                     raw = member(record(page_id, url, html, digest, "response" if response is None else "revisit", response))
                     out.write(raw)
                     size += len(raw)
