@@ -2,5 +2,240 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.functions.text import quoted, utf16_length, utf16_length_sql, words_sql
+from millrace.operators import clean as cleaning
+from millrace.operators import langid
+from millrace.operators.pos import tag_of_sql, tagged
+from millrace.operators.segment import segment, segment_exact, segments_sql
+from millrace.operators.sources import LINES_PER_SOURCE, lines, sentence_id, source_index, with_source_id
+from millrace.operators.tokenize import TokenResources, tokenize_exact, tokens_native, tokens_native_sql, word_counts
+from millrace.plans.pipeline import clean_first, segment_first
+from millrace.sources.resources import LONGER, RULES
+from millrace.sources.text import framed, unframed
+
+Spark, Frame = SparkSession, DataFrame
+
+
+def _table(spark: Spark, sf_dir: str, name: str) -> Frame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _lines(spark: Spark, sf_dir: str, *more: str) -> Frame:
+    """Lines of the documents, with the columns asked for."""
+    return lines(_table(spark, sf_dir, "documents").select("doc_id", *more, "text"))
+
+
+LINES = """(SELECT * FROM (
+  SELECT doc_id, source, lang, CAST(i - 1 AS BIGINT) AS line_idx, x AS text FROM (
+    SELECT doc_id, source, lang, unnest(string_split(text, chr(10))) AS x,
+           generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)) WHERE length(text) > 0)"""
+INDEX = "(SELECT row_number() OVER (ORDER BY source) - 1 AS source_id, source AS metadata FROM (SELECT DISTINCT source FROM documents))"
+SENTENCES = f"({segments_sql(LINES, 'doc_id, source, lang, line_idx')})"
+
+
+def q_source_index(spark: Spark, sf: str) -> Frame:
+    return source_index(_table(spark, sf, "documents"), "source")
+
+
+def q_lines_with_source(spark: Spark, sf: str) -> Frame:
+    docs = _table(spark, sf, "documents")
+    rows = with_source_id(_lines(spark, sf, "source"), source_index(docs, "source"), "source")
+    return rows.select("doc_id", "source_id", sentence_id(F.col("source_id"), F.col("line_idx")).alias("sent_id"), "text")
+
+
+def q_framed_roundtrip(spark: Spark, sf: str) -> Frame:
+    rows = _lines(spark, sf).select(framed(F.col("text"), F.col("doc_id")).alias("framed"))
+    return rows.select("framed", unframed(F.col("framed")).alias("r")).select("framed", F.col("r.n_chars").cast("long").alias("n_chars"), "r.text", "r.source_id")
+
+
+def q_rule_hits(spark: Spark, sf: str) -> Frame:
+    return cleaning.rule_hits(_lines(spark, sf))
+
+
+def q_first_rule(spark: Spark, sf: str) -> Frame:
+    """Lines by the first rule that rejects them; 0 stands for the valid ones."""
+    return cleaning.rule_report(_lines(spark, sf)).select(F.coalesce("rule_id", F.lit(0)).alias("rule_id"), "hits")
+
+
+def q_clean_lines(spark: Spark, sf: str) -> Frame:
+    return cleaning.clean(_lines(spark, sf)).select("doc_id", "line_idx", "text")
+
+
+def q_reject_lines(spark: Spark, sf: str) -> Frame:
+    return cleaning.rejects(_lines(spark, sf)).select("doc_id", "line_idx", "rule_id", "report")
+
+
+def q_clean_tab_column(spark: Spark, sf: str) -> Frame:
+    rows = _table(spark, sf, "conversations").select(F.concat_ws("\t", F.col("conv_id").cast("string"), F.col("turn").cast("string"), F.translate("text", "\n\t", "  ")).alias("text"))
+    return cleaning.clean_column(rows, 2)
+
+
+_MORE = {n: r for n, r in RULES.items() if n != 23} | LONGER
+
+
+def q_clean_lang_override(spark: Spark, sf: str) -> Frame:
+    """Spanish and French texts have the longer limit."""
+    text = F.col("text")
+    rule = F.when(F.col("lang").isin("es", "fr"), cleaning.first_rule(text, _MORE)).otherwise(cleaning.first_rule(text))
+    rule = F.coalesce(rule, F.lit(0))
+    return _lines(spark, sf, "lang").select("lang", rule.alias("rule_id")).groupBy("lang", "rule_id").agg(F.count("*").alias("hits"))
+
+
+def q_clean_replace_entities(spark: Spark, sf: str) -> Frame:
+    new = cleaning.replace_entities(F.col("html"))
+    return _table(spark, sf, "pages").select("page_id", F.length(new).cast("long").alias("n_chars"), F.md5(new.cast("binary")).alias("md5"))
+
+
+def q_segment_sentences(spark: Spark, sf: str) -> Frame:
+    return segment(_lines(spark, sf))
+
+
+def q_segment_exact(spark: Spark, sf: str) -> Frame:
+    return segment_exact(_lines(spark, sf))
+
+
+def q_segment_compat(spark: Spark, sf: str) -> Frame:
+    return segment_exact(_lines(spark, sf), compat=True)
+
+
+def q_sentences_per_source(spark: Spark, sf: str) -> Frame:
+    return segment(_lines(spark, sf, "source")).groupBy("source").agg(F.count("*").alias("sentences"), F.sum(utf16_length(F.col("text")).cast("long")).alias("chars"))
+
+
+def q_union_sentences(spark: Spark, sf: str) -> Frame:
+    """Sentences of documents and conversations together, counted by origin."""
+    docs = _lines(spark, sf).select(F.lit("documents").alias("origin"), "text")
+    talk = lines(_table(spark, sf, "conversations").select("text")).select(F.lit("conversations").alias("origin"), "text")
+    return segment(docs.unionByName(talk)).groupBy("origin").agg(F.count("*").alias("sentences"))
+
+
+def q_distinct_lines(spark: Spark, sf: str) -> Frame:
+    return _lines(spark, sf).select("text").distinct()
+
+
+def _profile(spark: Spark, sf: str) -> Frame:
+    return langid.build_profile(_table(spark, sf, "documents").select("lang", "text"))
+
+
+def q_word_probabilities(spark: Spark, sf: str) -> Frame:
+    return _profile(spark, sf).select("lang", "word", "freq", F.round("prob", 10).alias("prob"))
+
+
+def q_min_probability(spark: Spark, sf: str) -> Frame:
+    return langid.least_probability(_profile(spark, sf)).select(F.round("min_prob", 12).alias("min_prob"))
+
+
+_KEYS = ["doc_id", "line_idx"]
+
+
+def q_lang_scores(spark: Spark, sf: str) -> Frame:
+    return langid.scores(_lines(spark, sf), _profile(spark, sf), _KEYS)
+
+
+def q_lang_identify(spark: Spark, sf: str) -> Frame:
+    return langid.identify(_lines(spark, sf), _profile(spark, sf), _KEYS)
+
+
+def q_lang_confusion(spark: Spark, sf: str) -> Frame:
+    found = langid.identify(_lines(spark, sf), _profile(spark, sf), _KEYS).select("doc_id", F.col("lang").alias("found"))
+    return found.join(_table(spark, sf, "documents").select("doc_id", "lang"), "doc_id").groupBy("lang", "found").agg(F.count("*").alias("n"))
+
+
+def q_lang_unknown(spark: Spark, sf: str) -> Frame:
+    """Conversation turns in which the documents' profile knows no word."""
+    turns = _table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return langid.unknown(turns, _profile(spark, sf), ["conv_id", "turn"]).select("conv_id", "turn")
+
+
+def q_tokenize_native(spark: Spark, sf: str) -> Frame:
+    return _lines(spark, sf).select("doc_id", "line_idx", tokens_native(F.col("text")).alias("tokens"))
+
+
+def q_tokenize_exact(spark: Spark, sf: str) -> Frame:
+    return tokenize_exact(_lines(spark, sf), TokenResources()).select("doc_id", "line_idx", F.col("text").alias("tokens"))
+
+
+def q_token_counts(spark: Spark, sf: str) -> Frame:
+    tokens = F.filter(F.split(tokens_native(F.col("text")), " "), lambda w: w != "")
+    return _lines(spark, sf, "source").select("source", F.size(tokens).cast("long").alias("n")).groupBy("source").agg(F.sum("n").alias("tokens"), F.count("*").alias("lines"))
+
+
+def q_word_freq(spark: Spark, sf: str) -> Frame:
+    return word_counts(_lines(spark, sf).select(tokens_native(F.col("text")).alias("text")))
+
+
+def q_pos_tag(spark: Spark, sf: str) -> Frame:
+    return _lines(spark, sf).select("doc_id", "line_idx", tagged(tokens_native(F.col("text"))).alias("tagged"))
+
+
+def q_pipeline_a(spark: Spark, sf: str) -> Frame:
+    return segment_first(_table(spark, sf, "documents")).select("source_id", "sent_id", "seg", F.col("n_chars").cast("long").alias("n_chars"), "tokens", "tagged")
+
+
+def q_pipeline_b(spark: Spark, sf: str) -> Frame:
+    return clean_first(_table(spark, sf, "documents")).select("source_id", "sent_id", "seg", F.col("n_chars").cast("long").alias("n_chars"), "tokens", "tagged")
+
+
+QUERIES = {k[2:]: v for k, v in list(globals().items()) if k.startswith("q_")}
+
+_FIRST = cleaning.first_rule_sql("text")
+_NAME = "CASE rule_id " + " ".join(f"WHEN {n} THEN {quoted(r.description)}" for n, r in RULES.items()) + " END"
+_PROFILE = f"""(SELECT lang, word, freq, freq / sum(freq) OVER (PARTITION BY lang) AS prob FROM (
+  SELECT lang, word, count(*) AS freq FROM (SELECT lang, unnest({words_sql('text')}) AS word FROM documents) GROUP BY ALL))"""
+
+
+def _scores_sql(rows: str, keys: str) -> str:
+    return f"""
+SELECT {keys}, lang, round((total + m * greatest(n - found, 0)) / n, 8) AS prob FROM (
+  SELECT {keys}, p.lang, n, sum(p.prob) AS total, count(*) AS found
+  FROM (SELECT {keys}, len({words_sql('text')}) AS n, unnest({words_sql('text')}) AS word FROM {rows}) w
+  JOIN prof p USING (word) GROUP BY ALL), (SELECT min(prob) - 0.000001 AS m FROM prof)"""
+
+
+_WITH = f"WITH prof AS MATERIALIZED {_PROFILE}, sc AS ({_scores_sql(LINES, 'doc_id, line_idx')})"
+_BEST = f"{_WITH}, best AS (SELECT doc_id, line_idx, lang, prob FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, line_idx ORDER BY prob DESC, lang) AS r FROM sc) WHERE r = 1)"
+_TOKENS = tokens_native_sql("text")
+_TAGGED = f"array_to_string(list_transform(list_filter(string_split(tokens, ' '), lambda w: w <> ''), lambda w: w || '_' || {tag_of_sql('w')}), ' ')"
+_ENTITIES = cleaning.replace_entities_sql("html")
+
+
+def _pipeline_sql(rows: str) -> str:
+    return f"""SELECT source_id, sent_id, seg, n_chars, tokens, {_TAGGED} AS tagged FROM (
+  SELECT source_id, source_id * {LINES_PER_SOURCE} + line_idx AS sent_id, seg, {utf16_length_sql('text')} AS n_chars, {_TOKENS} AS tokens
+  FROM {rows} r JOIN {INDEX} x ON r.source IS NOT DISTINCT FROM x.metadata)"""
+
+
+ORACLES: dict[str, str] = {
+    "source_index": f"SELECT * FROM {INDEX}",
+    "lines_with_source": f"SELECT doc_id, source_id, source_id * {LINES_PER_SOURCE} + line_idx AS sent_id, text FROM {LINES} l JOIN {INDEX} x ON l.source IS NOT DISTINCT FROM x.metadata",
+    "framed_roundtrip": f"SELECT '(' || {utf16_length_sql('text')} || ',' || text || ',' || doc_id || ')' AS framed, {utf16_length_sql('text')} AS n_chars, text, doc_id AS source_id FROM {LINES}",
+    "rule_hits": " UNION ALL ".join(f"SELECT {n} AS rule_id, count(*) FILTER ({cleaning.failed_sql(r, 'text')}) AS hits FROM l" for n, r in RULES.items()),
+    "first_rule": f"SELECT coalesce({_FIRST}, 0) AS rule_id, count(*) AS hits FROM {LINES} GROUP BY 1",
+    "clean_lines": f"SELECT doc_id, line_idx, text FROM {LINES} WHERE ({_FIRST}) IS NULL",
+    "reject_lines": f"SELECT doc_id, line_idx, rule_id, text || chr(9) || 'Rule: ' || rule_id || ' ' || {_NAME} AS report FROM (SELECT *, {_FIRST} AS rule_id FROM {LINES}) WHERE rule_id IS NOT NULL",
+    "clean_tab_column": f"SELECT line AS text FROM (SELECT conv_id || chr(9) || turn || chr(9) || translate(text, chr(10) || chr(9), '  ') AS line, translate(text, chr(10) || chr(9), '  ') AS text FROM conversations) WHERE length(text) > 0 AND ({_FIRST}) IS NULL",
+    "clean_lang_override": f"SELECT lang, coalesce(CASE WHEN lang IN ('es', 'fr') THEN {cleaning.first_rule_sql('text', _MORE)} ELSE {_FIRST} END, 0) AS rule_id, count(*) AS hits FROM {LINES} GROUP BY ALL",
+    "clean_replace_entities": f"SELECT page_id, length({_ENTITIES}) AS n_chars, md5({_ENTITIES}) AS md5 FROM pages",
+    "segment_sentences": f"SELECT doc_id, line_idx, seg, text FROM {SENTENCES}",
+    "sentences_per_source": f"SELECT source, count(*) AS sentences, CAST(sum({utf16_length_sql('text')}) AS BIGINT) AS chars FROM {SENTENCES} GROUP BY source",
+    "union_sentences": "SELECT origin, count(*) AS sentences FROM (" + segments_sql("""(
+      SELECT 'documents' AS origin, row_number() OVER () AS k, x AS text FROM (SELECT unnest(string_split(text, chr(10))) AS x FROM documents) WHERE length(x) > 0
+      UNION ALL SELECT 'conversations', row_number() OVER (), x FROM (SELECT unnest(string_split(text, chr(10))) AS x FROM conversations) WHERE length(x) > 0)""", "origin, k") + ") GROUP BY origin",
+    "distinct_lines": f"SELECT DISTINCT text FROM {LINES}",
+    "word_probabilities": f"SELECT lang, word, freq, round(prob, 10) AS prob FROM {_PROFILE}",
+    "min_probability": f"SELECT round(min(prob) - 0.000001, 12) AS min_prob FROM {_PROFILE}",
+    "lang_scores": f"{_WITH} SELECT * FROM sc",
+    "lang_identify": f"{_BEST} SELECT * FROM best",
+    "lang_confusion": f"{_BEST} SELECT d.lang, b.lang AS found, count(*) AS n FROM best b JOIN documents d USING (doc_id) GROUP BY ALL",
+    "lang_unknown": f"WITH prof AS MATERIALIZED {_PROFILE} SELECT conv_id, turn FROM conversations c WHERE NOT EXISTS (SELECT 1 FROM (SELECT conv_id, turn, unnest({words_sql('text')}) AS word FROM conversations) w JOIN prof USING (word) WHERE w.conv_id = c.conv_id AND w.turn = c.turn)",
+    "tokenize_native": f"SELECT doc_id, line_idx, {_TOKENS} AS tokens FROM {LINES}",
+    "token_counts": f"SELECT source, CAST(sum(len(list_filter(string_split({_TOKENS}, ' '), lambda w: w <> ''))) AS BIGINT) AS tokens, count(*) AS lines FROM {LINES} GROUP BY source",
+    "word_freq": f"SELECT word, count(*) AS freq FROM (SELECT unnest(string_split({_TOKENS}, ' ')) AS word FROM {LINES}) WHERE word <> '' GROUP BY word",
+    "pos_tag": f"SELECT doc_id, line_idx, {_TAGGED} AS tagged FROM (SELECT doc_id, line_idx, {_TOKENS} AS tokens FROM {LINES})",
+    "pipeline_a": _pipeline_sql(f"(SELECT * FROM {SENTENCES} WHERE ({_FIRST}) IS NULL)"),
+    "pipeline_b": _pipeline_sql("(" + segments_sql(f"(SELECT * FROM {LINES} WHERE ({_FIRST}) IS NULL)", "doc_id, source, lang, line_idx") + ")"),
+}
+ORACLES["rule_hits"] = f"WITH l AS MATERIALIZED {LINES} " + ORACLES["rule_hits"]
