@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udf, udtf
 
 from millrace.operators.segment import SegmentResources, segment_text
 from millrace.operators.tokenize import Tokenizer, TokenResources
@@ -12,9 +13,6 @@ from millrace.session import ship
 
 def register(spark: SparkSession) -> None:
     """Registers tokenize(text) and the table function segment(text) -> (seg, sentence)."""
-    import pyarrow as pa
-    from pyspark.sql.functions import arrow_udf
-
     ship(spark)
 
     @arrow_udf("string")
