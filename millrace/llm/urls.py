@@ -109,15 +109,17 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_co
 
 
 def threshold(decided: DataFrame, step: float = 0.01) -> DataFrame:
-    """One row: the score, on a grid of bounded size, from which held-out lines are accepted at the least balanced error."""
+    """One row at most: of the grid's cells (bounded in number) the one from which accepting held-out lines has the least
+    balanced error; the threshold lies half-way to the next cell below that has lines."""
     place = F.least(F.greatest(F.floor(F.col("score") / step), F.lit(-1000)), F.lit(1000))
     bins = decided.groupBy(place.alias("bin")).agg(*[F.sum(F.when(F.col("said") == v, F.col("n")).otherwise(0)).alias(c) for c, v in (("good", "allow"), ("bad", "block"))])
     up = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # 2,001 rows at most
     every = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    bins = bins.select("bin", F.coalesce(F.sum("good").over(up), F.lit(0)).alias("lost"), F.sum("bad").over(every).alias("bads"), F.coalesce(F.sum("bad").over(up), F.lit(0)).alias("caught"), F.sum("good").over(every).alias("goods"))
-    bins = bins.where("goods > 0 AND bads > 0").select("bin", (F.col("lost") / F.col("goods") + 1 - F.col("caught") / F.col("bads")).alias("error"))
-    best = bins.agg(F.min(F.struct("error", "bin")).alias("best")).select("best.bin").where("bin IS NOT NULL")
-    return best.select((F.col("bin") * step).alias("threshold"))
+    before = F.lag("bin").over(Window.orderBy("bin"))
+    bins = bins.select("bin", ((F.col("bin") + F.coalesce(before, F.col("bin"))) / 2).alias("middle"), F.coalesce(F.sum("good").over(up), F.lit(0)).alias("lost"), F.sum("bad").over(every).alias("bads"), F.coalesce(F.sum("bad").over(up), F.lit(0)).alias("caught"), F.sum("good").over(every).alias("goods"))
+    bins = bins.where("goods > 0 AND bads > 0").select("bin", "middle", (F.col("lost") / F.col("goods") + 1 - F.col("caught") / F.col("bads")).alias("error"))
+    best = bins.agg(F.min(F.struct("error", "bin", "middle")).alias("best")).select("best.middle").where("middle IS NOT NULL")
+    return best.select((F.col("middle") * step).alias("threshold"))
 
 
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
