@@ -10,8 +10,16 @@ from pyspark.sql import SparkSession
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
+#: Bounds on the Arrow batches between the JVM and Python workers, so that long texts don't add up.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2048, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from the driver's checkout (clusters use --py-files)."""
+    """Let Python workers import this package from the driver's checkout (clusters use --py-files), and bound batches."""
+    for key, most in BATCH.items():
+        now = int(spark.conf.get(key).rstrip("b"))
+        if not 0 < now <= most:
+            spark.conf.set(key, most)
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "")
     if PACKAGE_ROOT not in have.split(":"):
