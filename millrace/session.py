@@ -12,15 +12,20 @@ PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 #: Bounds on the Arrow batches between the JVM and Python workers, so that long texts don't add up.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2048, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+#: Python workers give memory back between batches instead of pooling it by thread.
+WORKER_ENV = {"MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "4194304", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from the driver's checkout (clusters use --py-files), and bound batches."""
+    """Let Python workers import this package from the driver's checkout (clusters use --py-files); bound batches
+    and workers' memory."""
     for key, most in BATCH.items():
         now = int(spark.conf.get(key).rstrip("b"))
         if not 0 < now <= most:
             spark.conf.set(key, most)
     env = spark.sparkContext.environment
+    for key, value in WORKER_ENV.items():
+        env.setdefault(key, value)
     have = env.get("PYTHONPATH", "")
     if PACKAGE_ROOT not in have.split(":"):
         env["PYTHONPATH"] = f"{PACKAGE_ROOT}:{have}" if have else PACKAGE_ROOT
