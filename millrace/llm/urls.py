@@ -60,8 +60,7 @@ def score_table(counts: DataFrame, order: int = ORDER, concentration: float = CO
     holds every gram to be scored; it is bounded by the alphabet, so are all groups here."""
     size = len(ALPHABET) + 2
     now = counts.select("gram", "good", "bad")
-    total = now.agg(F.sum("good").alias("total_good"), F.sum("bad").alias("total_bad"))
-    now = now.join(F.broadcast(total), F.lit(True))
+    total = now.agg(F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
     p = {c: F.lit(1.0 / size) for c in ("good", "bad")}
     for k in range(order + 1):
         gram, context = F.col("gram").substr(order + 1 - k, k + 1), F.col("gram").substr(order + 1 - k, k)
@@ -72,7 +71,7 @@ def score_table(counts: DataFrame, order: int = ORDER, concentration: float = CO
             heads = now.groupBy("_c").agg(*[F.sum(c).alias(f"t_{c}") for c in p])
             now = now.join(heads, "_c")
         for c in p:
-            seen = F.col(f"t_{c}") if k else F.col(f"total_{c}")
+            seen = F.col(f"t_{c}") if k else F.lit(total[c])
             now = now.withColumn(f"p_{c}", (F.col(f"n_{c}") + concentration * p[c]) / (seen + concentration))
         now = now.drop("_g", "_c", *[f"n_{c}" for c in p], *[f"t_{c}" for c in p])
         p = {c: F.col(f"p_{c}") for c in p}
@@ -100,10 +99,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_co
     letters = asked.select("line", "said", "n", F.explode_outer(grams_of(F.col("line"))).alias("gram"))
     scored = letters.join(F.broadcast(deltas), "gram", "left").groupBy("line", "said").agg(F.max("n").alias("n"), F.round(F.coalesce(F.avg("delta"), F.lit(0.0)), 6).alias("score"))
     scored, _ = materialise(scored, "scores")
-    limit = F.coalesce(F.first("threshold"), F.lit(float("-inf")))
-    cut = threshold(scored.where("said IS NOT NULL")).agg(limit.alias("threshold"))
-    free = scored.where("said IS NULL").select(F.col("line").alias("asked"), "score").join(F.broadcast(cut), F.lit(True))
-    free = free.select("asked", "score", F.when(F.col("score") >= F.col("threshold"), "allow").otherwise("block").alias("own"))
+    cut = threshold(scored.where("said IS NOT NULL")).first()  # one row
+    own = F.when(F.col("score") >= (cut["threshold"] if cut else float("-inf")), "allow").otherwise("block")
+    free = scored.where("said IS NULL").select(F.col("line").alias("asked"), "score", own.alias("own"))
     out = base.join(free, (F.col("line") == F.col("asked")) & F.col("said").isNull(), "left")
     return out.select("page_id", "host", "path", "rule", F.coalesce("said", "own").alias("verdict"), "score")
 
