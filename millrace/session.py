@@ -12,8 +12,8 @@ PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 #: Bounds on the Arrow batches between the JVM and Python workers, so that long texts don't add up.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2048, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
-#: Python workers give memory back between batches instead of pooling it by thread.
-WORKER_ENV = {"MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "4194304", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+#: Python workers give Arrow's memory back between batches, and run as many native threads as an executor has cores to spare.
+WORKER_ENV = {"ARROW_DEFAULT_MEMORY_POOL": "system", "RAYON_NUM_THREADS": "2"}
 
 
 def ship(spark: SparkSession) -> None:
