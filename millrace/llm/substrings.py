@@ -7,13 +7,14 @@ nine need no row. Consecutive full windows with one anchor are a run. A run whos
 repeated anchors are extended to the doubled length. Equal runs (same anchor and same window hashes) repeat in all
 their windows; in the others, at the edges of shared passages, every full window is hashed and counted. Only the
 distinct runs are compared there, weighted by their number, so a group of copies counts once. No candidates are left
-after that. ``levels`` doubles on from the full window while repeats survive, for a report of the longest passages.
+after that: a window of the full length decides, so the doubling ends there.
 
 Anchors, runs and windows are compared by at least two independent 64-bit hashes.
 
 Texts go through one shuffle by row key; of rows without edge runs that is the end, the rest go through a second.
-Counts are aggregated before they are shuffled, joins of a hot anchor with its occurrences have one row on the other
-side, and lists are gathered only per row (bounded by its text).
+Counts are aggregated before they are shuffled. Keys that repeat are written before they are joined with their
+occurrences: then both sides of the join are plain shuffles, of which Spark splits the hot partitions (there is one row
+for a key on the other side). Lists are gathered only per row (bounded by its text).
 
 Rows: null text counts as empty (no words). Repeated rows and repeated ids count as separate documents and stay.
 """
@@ -165,12 +166,12 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.hash(F.col(f"`{text_col}`").cast("string")).alias("th"), F.col(f"`{text_col}`").cast("string").alias("text"))
     # level 1: anchors that occur again
     runs, runs_path = materialise(_runs(rows, window), "runs")
-    again = runs.groupBy("anchor").agg(F.sum(F.lit(1) + F.col("twice")).alias("c")).where("c > 1").select(F.col("anchor").alias("x"))
+    again, again_path = materialise(runs.groupBy("anchor").agg(F.sum(F.lit(1) + F.col("twice")).alias("c")).where("c > 1").select(F.col("anchor").alias("x")), "again")
     live, live_path = materialise(runs.join(again, runs["anchor"] == again["x"]).select("anchor", "run", "doc_id", "th", "a", "n"), "live")
-    forget(spark, runs_path)
+    forget(spark, runs_path, again_path)
     # level 2: equal runs, and one run for each distinct one
     kinds, kinds_path = materialise(live.groupBy("anchor", "run").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "a", "n")).alias("one")), "kinds")
-    mixed = kinds.groupBy("anchor").agg(F.min("c").alias("least")).where("least = 1").select(F.col("anchor").alias("x"))
+    mixed, mixed_path = materialise(kinds.groupBy("anchor").agg(F.min("c").alias("least")).where("least = 1").select(F.col("anchor").alias("x")), "mixed")
     edge = kinds.join(mixed, kinds["anchor"] == mixed["x"]).select("one.doc_id", "one.th", "anchor", "one.a", "one.n", F.col("c").alias("weight"))
     whole = kinds.where("c > 1").select(F.col("anchor").alias("x"), F.col("run").alias("y"))
     whole = live.join(whole, (live["anchor"] == whole["x"]) & (live["run"] == whole["y"])).select("doc_id", "th", F.lit(None).cast("long").alias("anchor"), "a", "n", F.lit(0).cast("long").alias("weight"))
@@ -210,10 +211,10 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
         return out
 
     found, found_path = materialise(map_arrow(joined, extend, FOUND), "found")
-    forget(spark, live_path, kinds_path)
+    forget(spark, live_path, kinds_path, mixed_path)
     # the doubled length: full windows of the edge runs that occur again
     spots = found.where("kind = 3").select("doc_id", "th", "anchor", "hash", "at", "weight")
-    repeat = spots.groupBy("anchor", "hash").agg(F.sum("weight").alias("c")).where("c > 1").select(F.col("anchor").alias("x"), F.col("hash").alias("y"))
+    repeat, _ = materialise(spots.groupBy("anchor", "hash").agg(F.sum("weight").alias("c")).where("c > 1").select(F.col("anchor").alias("x"), F.col("hash").alias("y")), "repeat")
     spots = spots.where("weight = 1").join(repeat, (F.col("anchor") == F.col("x")) & (F.col("hash") == F.col("y")))
     lists = spots.groupBy("doc_id", "th").agg(F.collect_list("at").alias("more")).select(F.col("doc_id").alias("i"), F.col("th").alias("t"), "more")
     rest = found.where("kind = 2").select("doc_id", "th", "text", "starts", "sizes")
