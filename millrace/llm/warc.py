@@ -67,7 +67,8 @@ def judged(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     html = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html"), F.sha2(html, 256).alias("digest"), F.octet_length(html).alias("n_bytes"))
     again = rows.where(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("least"), F.count("*").alias("c"))
-    again = again.where("c > 1 AND least IS NOT NULL").select(F.col("digest").alias("again"), "least")
+    # written, so that both sides of the join are plain shuffles, of which Spark splits a hot digest
+    again, _ = materialise(again.where("c > 1 AND least IS NOT NULL").select(F.col("digest").alias("again"), "least"), "again")
     rows = rows.join(again, rows["digest"] == again["again"], "left")
     return rows.select("page_id", "url", "html", "digest", F.when(F.col("page_id") != F.col("least"), F.col("least")).alias("response"))
 
