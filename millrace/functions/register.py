@@ -2,28 +2,58 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
+from functools import reduce
+
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import arrow_udf, udtf
+from pyspark.sql.functions import udtf
 
 from millrace.operators.segment import SegmentResources, segment_text
-from millrace.operators.tokenize import Tokenizer, TokenResources
+from millrace.operators.tokenize import TokenResources, tokenize_udf
 from millrace.session import ship
+from millrace.sources.resources import ENTITIES, RULES, Rule, rejected_characters
+
+
+def _quoted(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _size(text: str) -> str:
+    return f"CAST(octet_length(encode({text}, 'UTF-16BE')) / 2 AS INT)"
+
+
+def _failed(rule: Rule, text: str) -> str:
+    parts = []
+    if rule.pattern:
+        parts.append(f"rlike({text}, {_quoted(rule.pattern)})")
+    if rule.min_length:
+        parts.append(f"{_size(text)} < {rule.min_length}")
+    if rule.max_length:
+        parts.append(f"{_size(text)} > {rule.max_length}")
+    if rule.chars and (rule.ratio or rule.count):
+        left = _size(f"translate({text}, {_quoted(rule.chars)}, '')")
+        parts.append(f"CAST({_size(text)} / ({left} + 1) AS FLOAT) > CAST({rule.ratio} AS FLOAT)" if rule.ratio else f"{_size(text)} - {left} >= {rule.count}")
+    if rule.hex_pattern:
+        parts.append(f"rlike({text}, {_quoted(rejected_characters(rule.hex_pattern))})")
+    return " AND ".join(parts)
 
 
 def register(spark: SparkSession) -> None:
-    """Registers tokenize(text) and the table function segment(text) -> (seg, sentence)."""
+    """Registers tokenize(text), first_rule(text), replace_entities(text) and the table function segment(text) -> (seg,
+    sentence), with the default resources. first_rule and replace_entities are SQL functions, which the optimiser inlines."""
     ship(spark)
 
-    @arrow_udf("string")
-    def tokenize(texts: pa.Array) -> pa.Array:
-        own = Tokenizer(TokenResources())
-        return pa.array([None if t is None else own.line(t) for t in texts.to_pylist()], pa.string())
-
     @udtf(returnType="seg int, sentence string")
     class Segment:
+        def __init__(self):
+            self.res = SegmentResources()
+
         def eval(self, text: str):
-            yield from enumerate(segment_text(text, SegmentResources()) if text else [])
+            yield from enumerate(segment_text(text, self.res) if text else [])
 
-    spark.udf.register("tokenize", tokenize)
+    spark.udf.register("tokenize", tokenize_udf(spark, TokenResources()))
     spark.udtf.register("segment", Segment)
+    cases = " ".join(f"WHEN {_failed(r, 'text')} THEN {n}" for n, r in sorted(RULES.items()))
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION first_rule(text STRING) RETURNS INT RETURN CASE {cases} END")
+    new = reduce(lambda c, kv: f"replace({c}, {_quoted(kv[0])}, {_quoted(kv[1])})", ENTITIES.items(), "text")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION replace_entities(text STRING) RETURNS STRING RETURN {new}")

@@ -8,6 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: What Java calls white space (no-break spaces are none), inside a character class that Java, RE2 and Python read alike.
+WHITE = r"\t-\r\x1C- \x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}"
+WHITE_PYTHON = "\t-\r\x1c- \u1680\u2000-\u2006\u2008-\u200a\u2028\u2029\u205f\u3000"
+
+
 def utf16_length(text: Column) -> Column:
     """Length in UTF-16 code units, the unit of framed records and of length rules."""
     return (F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("int")

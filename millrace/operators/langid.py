@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import words
+from millrace.session import BROADCAST_BYTES, size_of
 
 #: Subtracted from the least probability to make the penalty of an unknown word.
 BELOW = 0.000001
@@ -32,11 +33,15 @@ def least_probability(profile: DataFrame) -> DataFrame:
 def scores(df: DataFrame, profile: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """(keys, lang, prob): the mean probability of a sentence's words in each language that knows any of them.
 
-    The word join is an equi-join that Spark plans by measured sizes: broadcast for small profiles, else shuffled with
-    skew handling; sums are partially aggregated before the second exchange."""
-    all_words = words(F.col(text))
-    rows = df.select(*keys, F.size(all_words).alias("n_words"), F.explode(all_words).alias("word"))
-    known = rows.join(profile.select("word", "lang", "prob"), "word").groupBy(*keys, "lang", "n_words").agg(F.sum("prob").alias("total"), F.count("*").alias("found"))
+    Words are cut once a line and stored before they are exploded. A profile whose measured size is within
+    ``BROADCAST_BYTES`` is broadcast (the exploded words then need no shuffle), a larger one is joined by shuffle with skew
+    handling; sums are partially aggregated before the exchange. ``profile`` is read twice: give a written table."""
+    rows = df.select(*keys, words(F.col(text)).alias("__words")).select(*keys, F.size("__words").alias("n_words"), "__words")
+    rows = rows.select(*keys, "n_words", F.explode("__words").alias("word"))
+    known_words = profile.select("word", "lang", "prob")
+    if size_of(profile) <= BROADCAST_BYTES:
+        known_words = F.broadcast(known_words)
+    known = rows.join(known_words, "word").groupBy(*keys, "lang", "n_words").agg(F.sum("prob").alias("total"), F.count("*").alias("found"))
     missing = F.greatest(F.col("n_words") - F.col("found"), F.lit(0))
     known = known.join(F.broadcast(least_probability(profile)), F.lit(True))  # a single row
     return known.select(*keys, "lang", _mean(F.col("total") + F.col("min_prob") * missing, F.col("n_words")).alias("prob"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -67,12 +67,13 @@ def tag_with(df: DataFrame, load: Callable[[], Callable[[list[str]], list[str]]]
     ship(df.sparkSession)
 
     @F.arrow_udf("string")
-    def run(texts: pa.Array) -> pa.Array:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tag = load()
-        out = []
-        for t in texts.to_pylist():
-            found = (t or "").split()
-            out.append(None if t is None else " ".join(f"{w}{separator}{p}" for w, p in zip(found, tag(found), strict=True)))
-        return pa.array(out, pa.string())
+        for texts in batches:
+            out = []
+            for t in texts.to_pylist():
+                found = (t or "").split()
+                out.append(None if t is None else " ".join(f"{w}{separator}{p}" for w, p in zip(found, tag(found), strict=True)))
+            yield pa.array(out, pa.string())
 
     return df.withColumn("tagged", run(F.col(text)))

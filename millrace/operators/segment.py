@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,9 +19,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import alternatives, quoted
 from millrace.session import ship
-from millrace.sources.resources import ABBREVIATIONS, BOUNDARIES, POST_LIST, Signed
+from millrace.sources.resources import ABBREVIATIONS, BOUNDARIES, POST_LIST, Signed, compiled
 
-CUT = "\x01"
+#: Two noncharacters, which text for interchange never has.
+CUT = "\ufdd0\ufdd1"
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,8 @@ class SegmentResources:
     post_list: list[str] = field(default_factory=lambda: list(POST_LIST))
     pre_rules: list[Signed] = field(default_factory=list)
     post_rules: list[Signed] = field(default_factory=list)
+    #: Whether a boundary before a text's last token counts (by default it doesn't, so a last sentence of one word is merged).
+    split_last: bool = False
 
 
 def with_capitals(words: list[str]) -> list[str]:
@@ -55,20 +59,21 @@ def segments(text: Column, res: SegmentResources | None = None) -> Column:
     res = res or SegmentResources()
     end = alternatives(res.boundaries) + "$"
     tokens = F.split(text, " ")
+    # what follows each token, null after the last ones: lambdas see tokens only through their arguments
+    none, last = F.lit(None).cast("string"), 1 if res.split_last else 2
+    after = F.concat(F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - last, F.lit(0))), F.array_repeat(none, F.least(F.size(tokens), F.lit(last))))
     pre, post = [F.array(*map(F.lit, x)) if x else F.array().cast("array<string>") for x in (res.pre_list, res.post_list)]
 
-    def piece(token: Column, i: Column, all_tokens: Column) -> Column:
-        after = F.get(all_tokens, i + 1)
-        bare = F.regexp_replace(after, end, "")
-        accept = token.rlike(end) & ~F.array_contains(pre, token) & (i + 2 < F.size(all_tokens)) & (after != "") & ~F.array_contains(post, bare)
+    def piece(token: Column, following: Column) -> Column:
+        bare = F.regexp_replace(following, end, "")
+        accept = following.isNotNull() & (following != "") & token.rlike(end) & ~F.array_contains(pre, token) & ~F.array_contains(post, bare)
         if res.pre_rules:
             accept = accept & ~_decided(token, res.pre_rules, False)
         if res.post_rules:
             accept = accept & ~_decided(bare, res.post_rules, True)
-        return F.concat(token, F.when(accept, CUT).when(i + 1 < F.size(all_tokens), " ").otherwise(""))
+        return F.when(accept, F.concat(token, F.lit(CUT))).otherwise(token)
 
-    joined = F.array_join(F.transform(tokens, lambda t, i: piece(t, i, tokens)), "")
-    return F.filter(F.split(joined, CUT), lambda s: s != "")
+    return F.filter(F.split(F.array_join(F.zip_with(tokens, after, piece), " "), CUT + " "), lambda s: s != "")
 
 
 def segment(df: DataFrame, res: SegmentResources | None = None, text: str = "text") -> DataFrame:
@@ -81,39 +86,41 @@ def segment(df: DataFrame, res: SegmentResources | None = None, text: str = "tex
 def segment_text(text: str, res: SegmentResources, compat: bool = False) -> list[str]:
     """Sentences of one text, character by character. compat: boundaries inside tokens count and swallow the character
     after them, pre-rules have no effect, and one last character after a boundary is lost."""
-    find = re.compile("|".join(map(re.escape, res.boundaries))).search
+    find = re.compile("|".join(map(re.escape, res.boundaries)) or "(?!)").search
     reach = max(map(len, res.pre_list), default=0)
     pre, post = frozenset(res.pre_list), frozenset(res.post_list)
-    out, at = [], 0
-    while True:
-        m = find(text, at)
-        if m is None:
-            break
-        end = m.end()
-        inside = not compat and end < len(text) and text[end] != " "
-        if inside or _no_boundary(text, m.start(), end, res, pre, post, reach, compat):
-            at = end
+    out, base, at = [], 0, 0  # the sentence starts at base
+    while (m := find(text, at)) is not None:
+        at = m.end()
+        inside = not compat and at < len(text) and text[at] != " "
+        if inside or _no_boundary(text, base, m.start(), at, res, pre, post, reach, compat):
             continue
-        out.append(text[:end])
-        rest = text[end + 1 :]
-        if not rest or compat and end + 1 >= len(text):
+        out.append(text[base:at])
+        base = at = at + 1
+        if base >= len(text):
             return out
-        text, at = rest, 0
-    return out + [text] if text else out
+    return out + [text[base:]] if base < len(text) else out
+
+
+@lru_cache(maxsize=1024)
+def compiled_once(pattern: str):
+    return compiled(pattern)
 
 
-def _no_boundary(text: str, start: int, end: int, res: SegmentResources, pre: frozenset, post: frozenset, reach: int, compat: bool) -> bool:
-    low = max(0, start - reach) if compat else 0
-    token = text[text.rfind(" ", low, start) + 1 if text.rfind(" ", low, start) >= 0 else low : end].strip()
+def _no_boundary(text: str, base: int, start: int, end: int, res: SegmentResources, pre: frozenset, post: frozenset, reach: int, compat: bool) -> bool:
+    low = max(base, start - reach) if compat else base
+    token = text[max(low, text.rfind(" ", low, start) + 1) : end].strip()
     if token in pre:
         return True
     if not compat:
         for rule in res.pre_rules:
-            if re.fullmatch(rule.pattern, token):
+            if compiled_once(rule.pattern).fullmatch(token):
                 if not rule.positive:
                     return True
                 break
     stop = text.find(" ", end + 1)
+    if stop < 0 and res.split_last:
+        stop = len(text)
     if stop < 0 or stop == end + 1 or end >= len(text):
         return True
     after = text[end + 1 : stop]
@@ -124,7 +131,7 @@ def _no_boundary(text: str, start: int, end: int, res: SegmentResources, pre: fr
     if after in post:
         return True
     for rule in res.post_rules:
-        if re.fullmatch(rule.pattern, after):
+        if compiled_once(rule.pattern).fullmatch(after):
             return rule.positive
     return False
 
@@ -143,6 +150,38 @@ def segment_exact(df: DataFrame, res: SegmentResources | None = None, text: str
     return rows.withColumn("seg", F.col("seg").cast("long"))
 
 
+def segments_exact_sql(lines: str, keys: str, res: SegmentResources | None = None, compat: bool = False) -> str:
+    """DuckDB query for ``segment_exact`` (lists and rules without look-around): a recursive walk from boundary to boundary."""
+    res = res or SegmentResources()
+    find = quoted(alternatives(res.boundaries))
+    tail = quoted(alternatives(res.boundaries) + "$")
+    isin = lambda x, members: f"{x} IN ({', '.join(map(quoted, members))})" if members else "false"
+
+    def ruled(token: str, rules: list[Signed], stop: bool) -> str:
+        cases = " ".join(f"WHEN regexp_full_match({token}, {quoted(r.pattern)}) THEN {r.positive == stop}" for r in rules)
+        return f"CASE {cases} ELSE false END" if rules else "false"
+
+    reach = max(map(len, res.pre_list), default=0)
+    before = f"right(substr(text, base, start - base), {reach})" if compat else "substr(text, base, start - base)"
+    return f"""
+WITH RECURSIVE walk AS (
+  SELECT {keys}, text, 1 AS base, 1 AS spot, CAST(0 AS BIGINT) AS seg, CAST(NULL AS VARCHAR) AS sentence FROM {lines}
+  UNION ALL
+  SELECT {keys}, text,
+         CASE WHEN m = '' THEN NULL WHEN no THEN base WHEN fin >= length(text) THEN NULL ELSE fin + 1 END,
+         CASE WHEN no THEN fin ELSE fin + 1 END, seg + CASE WHEN sentence IS NULL THEN 0 ELSE 1 END,
+         CASE WHEN m = '' THEN substr(text, base) WHEN no THEN NULL ELSE substr(text, base, fin - base) END
+  FROM (SELECT *, {'false' if compat else "(fin <= length(text) AND substr(text, fin, 1) <> ' ')"} OR {isin('token', res.pre_list)}
+             OR {'false' if compat else ruled('token', res.pre_rules, False)} OR fin > length(text) OR stop < 2
+             OR {isin('bare', res.post_list)} OR {ruled('bare', res.post_rules, True)} AS no
+        FROM (SELECT *, regexp_replace(regexp_extract({before}, '[^ ]*$') || m, '^\\s+|\\s+$', '', 'g') AS token,
+                     regexp_replace(substr(text, fin + 1, greatest(stop - 1, 0)), {tail}, '') AS bare
+              FROM (SELECT *, start + length(m) AS fin, instr(substr(text, start + length(m) + 1), ' ') AS stop
+                    FROM (SELECT *, spot + instr(substr(text, spot), m) - 1 AS start
+                          FROM (SELECT *, regexp_extract(substr(text, spot), {find}) AS m FROM walk WHERE base IS NOT NULL))))))
+SELECT {keys}, seg, sentence AS text FROM walk WHERE sentence <> ''"""
+
+
 def segments_sql(lines: str, keys: str, res: SegmentResources | None = None) -> str:
     """DuckDB query for ``segment`` over a relation with the given keys and text (lists only, no rules)."""
     res = res or SegmentResources()

@@ -9,10 +9,11 @@ from millrace.functions.text import quoted, utf16_length, utf16_length_sql, word
 from millrace.operators import clean as cleaning
 from millrace.operators import langid
 from millrace.operators.pos import tag_of_sql, tagged
-from millrace.operators.segment import segment, segment_exact, segments_sql
+from millrace.operators.segment import segment, segment_exact, segments_exact_sql, segments_sql
 from millrace.operators.sources import LINES_PER_SOURCE, lines, sentence_id, source_index, with_source_id
-from millrace.operators.tokenize import TokenResources, tokenize_exact, tokens_native, tokens_native_sql, word_counts
+from millrace.operators.tokenize import TokenResources, tokenize_exact, tokens_native, tokens_sql, word_counts
 from millrace.plans.pipeline import clean_first, segment_first
+from millrace.session import materialise, spread
 from millrace.sources.resources import LONGER, RULES
 from millrace.sources.text import framed, unframed
 
@@ -20,7 +21,7 @@ Spark, Frame = SparkSession, DataFrame
 
 
 def _table(spark: Spark, sf_dir: str, name: str) -> Frame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _lines(spark: Spark, sf_dir: str, *more: str) -> Frame:
@@ -117,7 +118,8 @@ def q_distinct_lines(spark: Spark, sf: str) -> Frame:
 
 
 def _profile(spark: Spark, sf: str) -> Frame:
-    return langid.build_profile(_table(spark, sf, "documents").select("lang", "text"))
+    """Counted once and written, so that its size is known and every reader takes the same table."""
+    return materialise(langid.build_profile(_table(spark, sf, "documents").select("lang", "text")), "profile")[0]
 
 
 def q_word_probabilities(spark: Spark, sf: str) -> Frame:
@@ -145,9 +147,8 @@ def q_lang_confusion(spark: Spark, sf: str) -> Frame:
 
 
 def q_lang_unknown(spark: Spark, sf: str) -> Frame:
-    """Conversation turns in which the documents' profile knows no word."""
-    turns = _table(spark, sf, "conversations").select("conv_id", "turn", "text")
-    return langid.unknown(turns, _profile(spark, sf), ["conv_id", "turn"]).select("conv_id", "turn")
+    """Lines in which the Spanish documents' profile knows no word."""
+    return langid.unknown(_lines(spark, sf), _profile(spark, sf).where("lang = 'es'"), _KEYS).select(*_KEYS)
 
 
 def q_tokenize_native(spark: Spark, sf: str) -> Frame:
@@ -158,6 +159,16 @@ def q_tokenize_exact(spark: Spark, sf: str) -> Frame:
     return tokenize_exact(_lines(spark, sf), TokenResources()).select("doc_id", "line_idx", F.col("text").alias("tokens"))
 
 
+def q_lang_ranked(spark: Spark, sf: str) -> Frame:
+    return langid.ranked(_lines(spark, sf), _profile(spark, sf), _KEYS).select("doc_id", "line_idx", "lang", F.col("rank").cast("long").alias("place"))
+
+
+def q_rollup_lines(spark: Spark, sf: str) -> Frame:
+    """Lines and UTF-16 units by source and language, by source, and over all."""
+    rows = _lines(spark, sf, "source", "lang").rollup("source", "lang").agg(F.grouping_id().alias("level"), F.count("*").alias("lines"), F.sum(utf16_length(F.col("text")).cast("long")).alias("chars"))
+    return rows.select("source", "lang", F.col("level").cast("long").alias("level"), "lines", "chars")
+
+
 def q_token_counts(spark: Spark, sf: str) -> Frame:
     tokens = F.filter(F.split(tokens_native(F.col("text")), " "), lambda w: w != "")
     return _lines(spark, sf, "source").select("source", F.size(tokens).cast("long").alias("n")).groupBy("source").agg(F.sum("n").alias("tokens"), F.count("*").alias("lines"))
@@ -197,15 +208,16 @@ SELECT {keys}, lang, round((total + m * greatest(n - found, 0)) / n, 8) AS prob
 
 _WITH = f"WITH prof AS MATERIALIZED {_PROFILE}, sc AS ({_scores_sql(LINES, 'doc_id, line_idx')})"
 _BEST = f"{_WITH}, best AS (SELECT doc_id, line_idx, lang, prob FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, line_idx ORDER BY prob DESC, lang) AS r FROM sc) WHERE r = 1)"
-_TOKENS = tokens_native_sql("text")
+#: Tokens by the table's passes, not by the engine's chain of expressions.
+_TOKENS = tokens_sql(LINES, "doc_id, line_idx")
 _TAGGED = f"array_to_string(list_transform(list_filter(string_split(tokens, ' '), lambda w: w <> ''), lambda w: w || '_' || {tag_of_sql('w')}), ' ')"
 _ENTITIES = cleaning.replace_entities_sql("html")
 
 
 def _pipeline_sql(rows: str) -> str:
-    return f"""SELECT source_id, sent_id, seg, n_chars, tokens, {_TAGGED} AS tagged FROM (
-  SELECT source_id, source_id * {LINES_PER_SOURCE} + line_idx AS sent_id, seg, {utf16_length_sql('text')} AS n_chars, {_TOKENS} AS tokens
-  FROM {rows} r JOIN {INDEX} x ON r.source IS NOT DISTINCT FROM x.metadata)"""
+    return f"""WITH r AS MATERIALIZED {rows}, t AS ({tokens_sql('r', 'doc_id, line_idx, seg')})
+  SELECT source_id, source_id * {LINES_PER_SOURCE} + line_idx AS sent_id, seg, {utf16_length_sql('text')} AS n_chars, tokens, {_TAGGED} AS tagged
+  FROM r JOIN t USING (doc_id, line_idx, seg) JOIN {INDEX} x ON r.source IS NOT DISTINCT FROM x.metadata"""
 
 
 ORACLES: dict[str, str] = {
@@ -230,11 +242,16 @@ ORACLES: dict[str, str] = {
     "lang_scores": f"{_WITH} SELECT * FROM sc",
     "lang_identify": f"{_BEST} SELECT * FROM best",
     "lang_confusion": f"{_BEST} SELECT d.lang, b.lang AS found, count(*) AS n FROM best b JOIN documents d USING (doc_id) GROUP BY ALL",
-    "lang_unknown": f"WITH prof AS MATERIALIZED {_PROFILE} SELECT conv_id, turn FROM conversations c WHERE NOT EXISTS (SELECT 1 FROM (SELECT conv_id, turn, unnest({words_sql('text')}) AS word FROM conversations) w JOIN prof USING (word) WHERE w.conv_id = c.conv_id AND w.turn = c.turn)",
-    "tokenize_native": f"SELECT doc_id, line_idx, {_TOKENS} AS tokens FROM {LINES}",
-    "token_counts": f"SELECT source, CAST(sum(len(list_filter(string_split({_TOKENS}, ' '), lambda w: w <> ''))) AS BIGINT) AS tokens, count(*) AS lines FROM {LINES} GROUP BY source",
-    "word_freq": f"SELECT word, count(*) AS freq FROM (SELECT unnest(string_split({_TOKENS}, ' ')) AS word FROM {LINES}) WHERE word <> '' GROUP BY word",
-    "pos_tag": f"SELECT doc_id, line_idx, {_TAGGED} AS tagged FROM (SELECT doc_id, line_idx, {_TOKENS} AS tokens FROM {LINES})",
+    "lang_unknown": f"WITH prof AS MATERIALIZED {_PROFILE}, k AS (SELECT DISTINCT doc_id, line_idx FROM (SELECT doc_id, line_idx, unnest({words_sql('text')}) AS word FROM {LINES}) JOIN prof USING (word) WHERE lang = 'es') SELECT doc_id, line_idx FROM {LINES} l WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.doc_id = l.doc_id AND k.line_idx = l.line_idx)",
+    "lang_ranked": f"{_WITH} SELECT doc_id, line_idx, lang, row_number() OVER (PARTITION BY doc_id, line_idx ORDER BY prob DESC, lang) AS place FROM sc",
+    "rollup_lines": f"SELECT source, lang, CAST(grouping(source, lang) AS BIGINT) AS level, count(*) AS lines, CAST(sum({utf16_length_sql('text')}) AS BIGINT) AS chars FROM {LINES} GROUP BY ROLLUP (source, lang)",
+    "tokenize_native": _TOKENS,
+    "tokenize_exact": _TOKENS,
+    "segment_exact": segments_exact_sql(LINES, "doc_id, line_idx"),
+    "segment_compat": segments_exact_sql(LINES, "doc_id, line_idx", compat=True),
+    "token_counts": f"SELECT source, CAST(sum(len(list_filter(string_split(tokens, ' '), lambda w: w <> ''))) AS BIGINT) AS tokens, count(*) AS lines FROM ({_TOKENS}) t JOIN documents USING (doc_id) GROUP BY source",
+    "word_freq": f"SELECT word, count(*) AS freq FROM (SELECT unnest(string_split(tokens, ' ')) AS word FROM ({_TOKENS})) WHERE word <> '' GROUP BY word",
+    "pos_tag": f"SELECT doc_id, line_idx, {_TAGGED} AS tagged FROM ({_TOKENS})",
     "pipeline_a": _pipeline_sql(f"(SELECT * FROM {SENTENCES} WHERE ({_FIRST}) IS NULL)"),
     "pipeline_b": _pipeline_sql("(" + segments_sql(f"(SELECT * FROM {LINES} WHERE ({_FIRST}) IS NULL)", "doc_id, source, lang, line_idx") + ")"),
 }

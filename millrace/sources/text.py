@@ -22,6 +22,12 @@ def read_tagged(spark: SparkSession, path: str, index: bool = True) -> DataFrame
     return rows if index else rows.drop("line_idx")
 
 
+def dropped_bodies(spark: SparkSession, path: str) -> DataFrame:
+    """One row: chunks of tagged files and how many of them have no end tag, so that their body is dropped."""
+    chunks = spark.read.option("lineSep", START).text(path).where(F.length(F.trim("value")) > 0)
+    return chunks.agg(F.count("*").alias("chunks"), F.count_if(F.instr("value", END) == 0).alias("dropped"))
+
+
 def read_plain(spark: SparkSession, path: str) -> DataFrame:
     """(metadata, text) of files without headers; metadata is empty."""
     return spark.read.text(path).select(F.lit("").alias("metadata"), F.col("value").alias("text")).where(F.length("text") > 0)
@@ -65,9 +71,9 @@ def write_framed(df: DataFrame, path: str, text: str = "text", source_id: str =
     df.select(framed(F.col(text), F.col(source_id))).write.mode("overwrite").text(path)
 
 
-def write_source_index(index: DataFrame, path: str) -> None:
-    """``(metadata,id)`` lines."""
-    index.select(F.concat(F.lit("("), "metadata", F.lit(","), F.col("source_id").cast("string"), F.lit(")"))).write.mode("overwrite").text(path)
+def write_source_index(index: DataFrame, path: str, files: int = 5) -> None:
+    """``(metadata,id)`` lines in a few files: the index is a dimension."""
+    index.coalesce(files).select(F.concat(F.lit("("), "metadata", F.lit(","), F.col("source_id").cast("string"), F.lit(")"))).write.mode("overwrite").text(path)
 
 
 def write_languages(df: DataFrame, path: str) -> None:
@@ -76,8 +82,8 @@ def write_languages(df: DataFrame, path: str) -> None:
 
 
 def read_word_lists(spark: SparkSession, path: str, languages: list[str] | None = None) -> DataFrame:
-    """(lang, word, freq, total) of ``<lang>.words`` files: total frequency first, then frequency, tab, word."""
-    rows = spark.read.text(f"{path.rstrip('/')}/*.words", wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.words$", 1).alias("lang"), F.split("value", "\r?\n").alias("rows"))
+    """(lang, word, freq, total) of ``<lang>.words`` files (or folders of one file): total frequency first, then frequency, tab, word."""
+    rows = spark.read.text(f"{path.rstrip('/')}/*.words", wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.words(?:/[^/]*)?$", 1).alias("lang"), F.split("value", "\r?\n").alias("rows"))
     if languages:
         rows = rows.where(F.col("lang").isin(languages))
     total = F.expr("try_cast(trim(rows[0]) AS long)")

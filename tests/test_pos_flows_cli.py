@@ -1,4 +1,6 @@
 import json
+import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -22,6 +24,15 @@ def test_own_tagger(spark):
     assert [r.tagged for r in tag_with(df, lambda: lambda ws: [str(len(w)) for w in ws]).collect()] == ["a_1 bb_2", None]
 
 
+def test_a_tagger_is_loaded_once_a_task(spark, tmp_path):
+    def load():
+        (tmp_path / f"{os.getpid()}-{time.time_ns()}").touch()
+        return lambda ws: ["X"] * len(ws)
+
+    df = spark.range(0, 9000, 1, 1).selectExpr("CAST(id AS STRING) AS text")
+    assert tag_with(df, load).where("tagged LIKE '%_X'").count() == 9000 and len(list(tmp_path.iterdir())) == 1
+
+
 def test_pipelines(spark):
     df = spark.createDataFrame([("s", TEXT)], "source string, text string")
     a = segment_first(df).orderBy("seg").collect()
@@ -52,6 +63,8 @@ def test_windowed_counts(spark, tmp_path):
 def test_sql_names(spark):
     register(spark)
     assert spark.sql("SELECT tokenize('a, b.')").first()[0] == "a , b ."
+    assert [r[0] for r in spark.sql("SELECT first_rule(t) FROM VALUES ('no end'), ('This is a decent sentence of some words.') v(t)").collect()] == [1, None]
+    assert spark.sql("SELECT replace_entities('caf&eacute;')").first()[0] == "café"
     assert [r.sentence for r in spark.sql("SELECT * FROM segment('One here. Two it is.')").collect()] == ["One here.", "Two it is."]
 
 

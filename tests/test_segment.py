@@ -47,3 +47,29 @@ def test_rows_keep_other_columns(spark):
     rows = spark.createDataFrame([(1, CASES[0][0]), (2, None)], "id int, text string")
     for run in (segment, segment_exact):
         assert [(r.id, r.seg) for r in run(rows).orderBy("id", "seg").collect()] == [(1, 0), (1, 1), (1, 2)]
+
+
+def test_one_long_line(spark):
+    """Time grows with the line, not with its square."""
+    line = " ".join(f"word{k} next." if k % 7 == 0 else f"Word{k}" for k in range(100_000))
+    rows = spark.createDataFrame([(1, line)], "id int, text string")
+    n = line.count("next. ") - (1 if line.rsplit(" ", 2)[1] == "next." else 0)
+    for run in (segment, segment_exact):
+        assert run(rows).count() == n + 1
+
+
+def test_split_last():
+    own = SegmentResources(split_last=True)
+    assert segment_text("It ends with one. Word.", own) == ["It ends with one.", "Word."]
+
+
+def test_split_last_native(spark):
+    rows = spark.createDataFrame([("It ends with one. Word.",), ("One.",), ("",), (None,)], "text string")
+    assert [r[0] for r in rows.select(segments(F.col("text"), SegmentResources(split_last=True))).collect()] == [["It ends with one.", "Word."], ["One."], [], None]
+
+
+def test_java_patterns_decide(spark):
+    res = SegmentResources(pre_rules=[Signed(r"[\p{IsL}]\.", False)])
+    text = "He met A. Miller there. Then he left us."
+    assert segment_text(text, res) == ["He met A. Miller there.", "Then he left us."]
+    assert spark.createDataFrame([(text,)], "text string").select(segments(F.col("text"), res)).first()[0] == ["He met A. Miller there.", "Then he left us."]
