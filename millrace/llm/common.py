@@ -1,15 +1,16 @@
-"""Helpers of the operators: tables, materialisation in the shared folder, Arrow mapping."""
+"""Helpers of the operators: tables and Arrow mapping; written tables come from the session helpers."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import shared_dir, ship
+from millrace.session import forget, materialise, ship
+
+__all__ = ["filter_rows", "forget", "id_text", "map_arrow", "materialise", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +22,8 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | list[dict] | None], schema: str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch; it returns columns by name (or several such dicts)."""
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterable[dict] | None], schema: str) -> DataFrame:
+    """Apply ``fn`` to each Arrow batch; it returns columns by name, or several such dicts (lazily, if it is a generator)."""
     ship(df.sparkSession)
     names = [c.name for c in _struct(schema)]
     target = _arrow_schema(schema)
@@ -32,7 +33,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | list[dict] |
             if not batch.num_rows:
                 continue
             got = fn(batch)
-            for part in got if isinstance(got, list) else [got]:
+            for part in [got] if got is None or isinstance(got, dict) else got:
                 if part is not None:
                     yield pa.RecordBatch.from_arrays([_array(part[n], target.field(n).type) for n in names], schema=target)
 
@@ -59,19 +60,16 @@ def _arrow_schema(schema: str) -> pa.Schema:
     return to_arrow_schema(_struct(schema))
 
 
-def materialise(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends in files that survive a lost executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path), path
+def filter_rows(docs: DataFrame, keep: Callable[[], Callable[[str | None], bool]], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text passes, with all columns and whatever names they have. ``keep`` makes the test, once a task."""
+    ship(docs.sparkSession)
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    at = docs.columns.index(text_col)
+    rows = docs.toDF(*names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = keep()
+        for batch in batches:
+            yield batch.filter(pa.array([test(t) for t in batch.column(at).to_pylist()], pa.bool_()))
 
-def forget(spark: SparkSession, *paths: str) -> None:
-    """Delete materialised tables that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
-        where = jvm.org.apache.hadoop.fs.Path(p)
-        where.getFileSystem(conf).delete(where, True)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

@@ -5,28 +5,32 @@ Texts are lower-cased (A-Z) and cut into words; an item's windows of ``window``
 pairs of words: the scan looks at the last pair of the current window, skips as many words as no pattern can
 start in, and only at shift 0 goes to the bucket of that suffix, where whole patterns are compared directly.
 
-The patterns travel with the tasks: their words are counted first, and beyond ``MAX_PATTERN_WORDS`` the items are
-dealt into groups of bounded size; each group is one more pass over the documents and hits are merged by document.
+The patterns travel with the tasks: their words are counted by Spark first, and beyond ``MAX_PATTERN_WORDS`` the items are
+dealt into groups of bounded size. One group at a time is on the driver and broadcast; each further group is one more pass over the
+documents, written in between, and hits are merged by document.
 
-Null or wordless texts have no words; such items have no windows; empty tables give no rows or no hits.
+Rows: null or wordless texts have no words; such items have no windows; empty tables give no rows or no hits. An item without
+an id goes by the empty name; items of one id count as one. Repeated documents stay; texts of any length are searched whole;
+other columns are left out by ``hits`` and kept by ``clean``.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_text, map_arrow, table
-from millrace.session import ship
+from millrace.llm.common import filter_rows, forget, id_text, map_arrow, materialise, table
 
 WINDOW = 10
 #: Bound on what is sent to each task at once: about 60 MB of tables.
 MAX_PATTERN_WORDS = 2_000_000
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_CLASS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_WORD = re.compile(_CLASS)
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
@@ -111,66 +115,73 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
-def _groups(items: DataFrame, window: int) -> list[list[tuple[str, str | None]]]:
-    """Items in groups whose windows hold a bounded number of words."""
-    groups, room = [[]], MAX_PATTERN_WORDS
-    for item, text in items.toLocalIterator():
-        size = len(words_of(text)) * window
-        if size > room and groups[-1]:
-            groups.append([])
-            room = MAX_PATTERN_WORDS
-        groups[-1].append((item, text))
-        room -= size
-    return groups
+def _groups(items: DataFrame, window: int) -> Iterator[list[tuple[str, str | None]]]:
+    """Items in groups whose windows hold a bounded number of words (a single item may be larger), one group at a time. The number
+    of groups follows from a count of all windows' words; items are dealt out by hash."""
+    sized = items.withColumn("words", F.regexp_count(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(_CLASS)))
+    total = sized.agg(F.sum("words")).first()[0] or 0
+    n = max(1, -(-total * window * (1 if total * window <= MAX_PATTERN_WORDS else 2) // MAX_PATTERN_WORDS))
+    for k in range(n):
+        own = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+        yield [tuple(r) for r in own.collect()]
 
 
 SPANS = "doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<string>"
 
 
 def _items(items: DataFrame, item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    return items.select(F.col(f"`{item_col}`").cast("string"), F.col(f"`{item_text}`").cast("string"))
+    return items.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("")).alias("item_id"), F.col(f"`{item_text}`").cast("string").alias("text"))
 
 
 def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, hit word ranges [a, b) and the ids of the items found (as strings).
 
-    Each group of items adds its hits to a copy of the rows that carries what earlier groups found."""
-    base = id_text(docs).withColumn("found", F.lit(None).cast("array<struct<a:long,b:long>>")).withColumn("names", F.lit(None).cast("array<string>"))
-    groups = _groups(_items(items), window)
-    for k, group in enumerate(groups):
-        sent, last = docs.sparkSession.sparkContext.broadcast(group), k == len(groups) - 1
-
-        def run(batch: pa.RecordBatch, sent=sent, last=last) -> dict:
+    Each further group of items adds its hits to a written copy of the rows that carries what earlier groups found."""
+    spark = docs.sparkSession
+    base = id_text(docs).withColumn("spans", F.lit(None).cast("array<struct<a:long,b:long>>")).withColumn("items", F.lit(None).cast("array<string>"))
+    before = sent = None
+    for group in _groups(_items(items), window):
+        if sent is not None:  # a further group: what was found so far is written, and the group before it let go
+            base, path = materialise(base, "hits")
+            sent.unpersist()
+            if before:
+                forget(spark, before)
+            before = path
+        sent = spark.sparkContext.broadcast(group)
+
+        def run(batch: pa.RecordBatch, sent=sent) -> dict:
             matcher = _matcher(sent.value, window)
             n, spans, names = [], [], []
-            for text, before, known in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+            for text, found, known in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True):
                 words = words_of(text)
                 where, which = matcher.find(words)
-                where = _merged([*where, *((s["a"], s["b"]) for s in before or ())])
+                where = _merged([*where, *((s["a"], s["b"]) for s in found or ())])
                 n.append(len(words))
                 spans.append([{"a": a, "b": b} for a, b in where])
                 names.append(sorted({matcher.names[x] for x in which} | set(known or ())))
-            out = {"doc_id": batch.column(0), "n_words": n, "spans": spans, "items": names}
-            return out if last else out | {"text": batch.column(1), "found": spans, "names": names}
+            return {"doc_id": batch.column("doc_id"), "n_words": n, "spans": spans, "items": names, "text": batch.column("text")}
 
-        base = map_arrow(base, run, SPANS if last else "doc_id long, text string, found array<struct<a:long,b:long>>, names array<string>")
-    return base
+        base = map_arrow(base, run, SPANS + ", text string")
+    return base.select("doc_id", "n_words", "spans", "items")
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of the items occurs, with all their columns."""
-    ship(docs.sparkSession)
-    at = docs.columns.index(text_col)
+    before = sent = None
     for group in _groups(_items(items), window):
+        if sent is not None:
+            docs, path = materialise(docs, "clean")
+            sent.unpersist()
+            if before:
+                forget(docs.sparkSession, before)
+            before = path
         sent = docs.sparkSession.sparkContext.broadcast(group)
 
-        def run(batches, sent=sent):
+        def keep(sent=sent):
             matcher = _matcher(sent.value, window)
-            for batch in batches:
-                keep = [not matcher.find(words_of(t))[0] for t in batch.column(at).to_pylist()]
-                yield batch.filter(pa.array(keep, pa.bool_()))
+            return lambda text: not matcher.find(words_of(text))[0]
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = filter_rows(docs, keep, text_col)
     return docs
 
 

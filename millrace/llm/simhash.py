@@ -8,8 +8,9 @@ differs by at most the distance of a pair, pairs whose largest coordinate differ
 unseen, and survivors are verified by their exact Hamming distance. Nodes of a bucket are sorted by the first pivot's
 coordinate, which bounds the sweep.
 
-A bucket of more than ``TILE`` nodes is dealt into slices by hash; each pair of slices is a tile of its own, so no
-task gets a whole hot bucket. Tiles return a spanning forest of their links, never all pairs. Components grow by
+A bucket of more than ``HOT`` tiles' nodes is parted once more by block pairs of the fingerprints turned by five bits (again no
+pair within 4 bits is lost). What still has more than ``TILE`` nodes is dealt into slices by hash; each pair of slices is a tile of
+its own, so no task gets a whole hot bucket. Tiles return a spanning forest of their links, never all pairs. Components grow by
 alternating large-star and small-star steps on written tables.
 
 Rows: null and wordless texts have fingerprint zero, linked like any other. A row with a null id is kept, its
@@ -30,7 +31,7 @@ from millrace.session import ship
 SHINGLE, SEED, MAX_DISTANCE = 4, 42, 4
 #: Six blocks of bits, of which any two make a bucket key.
 BLOCKS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
-PIVOTS, TILE = 16, 2048
+PIVOTS, TILE, HOT, KEYS = 16, 2048, 16, 4
 
 
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
@@ -52,13 +53,13 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, th, fp): th a 32-bit hash of the text, fp as a signed long with the fingerprint's bits."""
+    """(doc_id, th, fp): th a 64-bit hash of the text, fp as a signed long with the fingerprint's bits."""
 
     def run(batch: pa.RecordBatch) -> dict:
         fp = np.array([fingerprint(t, size) for t in batch.column(1).to_pylist()], "u8")
         return {"doc_id": batch.column(0), "th": batch.column(2), "fp": fp.view("i8")}
 
-    return map_arrow(id_text(docs).withColumn("th", F.hash("text")), run, "doc_id long, th int, fp long")
+    return map_arrow(id_text(docs).withColumn("th", F.xxhash64("text")), run, "doc_id long, th long, fp long")
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -136,35 +137,37 @@ def _search(limit: int):
     def run(batches):
         held: list[np.ndarray] = []
         for batch in batches:
-            now = np.stack([np.asarray(batch.column(k)).astype("i8") for k in range(3)])
+            now = np.stack([np.asarray(batch.column(k)).astype("i8") for k in range(KEYS + 2)])
             if not now.shape[1]:
                 continue
             held.append(now)
-            if held[0][0, 0] == now[0, -1]:  # one group so far; its size is bounded by two slices
+            if (held[0][:KEYS, 0] == now[:KEYS, -1]).all():  # one group so far; its size is bounded by two slices
                 continue
             rows = np.concatenate(held, axis=1)
-            cut = int(np.searchsorted(rows[0], rows[0, -1], "left"))
+            cut = int(np.flatnonzero((rows[:KEYS] != rows[:KEYS, -1:]).any(axis=0))[-1]) + 1
             held = [rows[:, cut:]]
             yield from emit(rows[:, :cut])
         if held:
             yield from emit(np.concatenate(held, axis=1))
 
     def emit(rows: np.ndarray):
-        for a, b in solve(rows[0], rows[1], np.ascontiguousarray(rows[2]).view("u8")):
+        tile = np.concatenate([[0], np.cumsum((rows[:KEYS, 1:] != rows[:KEYS, :-1]).any(axis=0))])
+        for a, b in solve(tile, rows[KEYS], np.ascontiguousarray(rows[KEYS + 1]).view("u8")):
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a.view("i8")), pa.array(b.view("i8"))], names=["a", "b"])
 
     return run
 
 
-def _keys() -> list:
-    """The bucket number of each pair of blocks: its bits above the pair's number."""
+def _keys(turn: int = 0) -> list:
+    """The bucket number of each pair of blocks: its bits above the pair's number. ``turn``: of the fingerprint turned by as many bits."""
+    own = F.shiftrightunsigned("fp", turn).bitwiseOR(F.shiftleft("fp", 64 - turn)) if turn else F.col("fp")
     out = []
     for i in range(len(BLOCKS)):
         for j in range(i + 1, len(BLOCKS)):
             (a, n), (b, m) = BLOCKS[i], BLOCKS[j]
-            bits = F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << n) - 1))
-            more = F.shiftrightunsigned("fp", b).bitwiseAND(F.lit((1 << m) - 1))
+            bits = F.shiftrightunsigned(own, a).bitwiseAND(F.lit((1 << n) - 1))
+            more = F.shiftrightunsigned(own, b).bitwiseAND(F.lit((1 << m) - 1))
             out.append(bits.bitwiseOR(F.shiftleft(more, n)).bitwiseOR(F.lit(len(out) << 22).cast("long")).cast("long"))
     return out
 
@@ -175,16 +178,21 @@ def links(nodes: DataFrame, limit: int = MAX_DISTANCE) -> DataFrame:
         raise ValueError("six blocks find distances up to 4")
     ship(nodes.sparkSession)
     rows = nodes.select("fp", F.explode(F.array(*_keys())).alias("bucket"))
-    size = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1).select(F.col("bucket").alias("hot"), F.ceil(F.col("n") / TILE).cast("long").alias("slices"))
-    dealt = rows.join(size, F.col("bucket") == F.col("hot")).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("slices")))
+    size = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1).select(F.col("bucket").alias("x"), F.col("n").alias("size"))
+    rows = rows.join(size, F.col("bucket") == F.col("x")).select("fp", "bucket", "size")
+    # a bucket of more than HOT tiles is parted once more, by the block pairs of the fingerprints turned by five bits
+    hot = rows.where(F.col("size") > HOT * TILE).select("fp", "bucket", F.explode(F.array(*_keys(5))).alias("sub"))
+    again = hot.groupBy("bucket", "sub").agg(F.count("*").alias("size")).where(F.col("size") > 1).select(F.col("bucket").alias("x"), F.col("sub").alias("y"), "size")
+    hot = hot.join(again, (F.col("bucket") == F.col("x")) & (F.col("sub") == F.col("y"))).select("fp", "bucket", "sub", "size")
+    rows = rows.where(F.col("size") <= HOT * TILE).select("fp", "bucket", F.lit(-1).cast("long").alias("sub"), "size").unionByName(hot)
     # slice i meets slice j in tile (i, j); a tile (i, i) has the pairs inside the slice
-    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, slices - 1)")))
+    slices = F.ceil(F.col("size") / TILE).cast("long")
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("fp"), slices)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)))
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    dealt = dealt.select(
-        F.xxhash64("bucket", low, high).alias("tile"), F.when(low == high, 0).when(F.col("own") == low, 1).otherwise(2).cast("long").alias("part"), "fp"
-    )
+    dealt = dealt.select("bucket", "sub", low.alias("low"), high.alias("high"), F.when(low == high, 0).when(F.col("own") == low, 1).otherwise(2).cast("long").alias("part"), "fp")
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, "tile").sortWithinPartitions("tile").mapInArrow(_search(limit), "a long, b long")
+    keys = ["bucket", "sub", "low", "high"]
+    return dealt.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(_search(limit), "a long, b long")
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
@@ -217,13 +225,15 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
 def _labelled(docs: DataFrame, size: int, limit: int) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of the rows; and for each fingerprint its component's root and smallest id."""
     fps, _ = materialise(fingerprints(docs, size), "fingerprints")
-    nodes, _ = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
+    nodes, nodes_path = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
     stars = components(links(nodes.select("fp"), limit))
     member = nodes.join(stars, nodes["fp"] == stars["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    member, _ = materialise(member, "members")
+    member, member_path = materialise(member, "members")
     least = member.groupBy("root").agg(F.min("low").alias("component_id"))
     label = member.select(F.col("fp").alias("node"), F.col("root").alias("group")).join(least, F.col("group") == F.col("root")).select("node", "group", "component_id")
-    return fps, materialise(label, "labels")[0]
+    label, _ = materialise(label, "labels")
+    forget(docs.sparkSession, nodes_path, member_path)
+    return fps, label
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, limit: int = MAX_DISTANCE) -> DataFrame:
@@ -232,13 +242,6 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, limit: int = MAX_DISTA
     return fps.join(label, fps["fp"] == label["node"], "left").select("doc_id", "th", "fp", "component_id")
 
 
-def representatives(docs: DataFrame, size: int = SHINGLE, limit: int = MAX_DISTANCE) -> DataFrame:
-    """(doc_id, th) of one row of each component: the one with the smallest id."""
-    fps, label = _labelled(docs, size, limit)
-    rows = fps.join(label, fps["fp"] == label["node"]).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return rows.groupBy("group").agg(F.min(F.struct("doc_id", "th")).alias("one")).select("one.doc_id", "one.th")
-
-
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -1,22 +1,28 @@
 """Substring deduplication by level-wise doubling of word windows.
 
 A word is removed where a window of ``window`` consecutive words covers it whose word sequence starts anywhere else.
-Level 1 looks at windows of half that length. Of the half windows inside each full window, only the one of the least
-hash is registered (its anchor): equal full windows have equal anchors, so no repeat is missed, and of ten half windows
-nine need no row. Consecutive full windows with one anchor are a run. A run whose anchor occurs once is done; runs with
-repeated anchors are extended to the doubled length. Equal runs (same anchor and same window hashes) repeat in all
-their windows; in the others, at the edges of shared passages, every full window is hashed and counted. Only the
-distinct runs are compared there, weighted by their number, so a group of copies counts once. No candidates are left
-after that: a window of the full length decides, so the doubling ends there.
+Lengths go up by doubling from ``SHORTEST`` or so: 9, 18, 35 words for a window of 35 (the last step overlaps).
 
-Anchors, runs and windows are compared by at least two independent 64-bit hashes.
+Of the shortest windows inside each full window only the one of the least hash is looked at (its anchor): equal full windows
+have equal anchors, so no repeat is missed, and of fourteen positions thirteen need no row. Consecutive full windows with one
+anchor are a run. Anchors that occur once are done with; of those that repeat, and of those alone, the block is extended to
+twice its length (to the right as far as the full window reaches, else to the left, which is the same choice in equal
+windows), and again only blocks that repeat survive. At the full length equal runs (same block and same window hashes)
+repeat in all their windows; in the others, at the edges of shared passages, every full window is hashed and counted.
+Only the distinct runs are compared there, weighted by their number, so a group of copies counts once. No candidates are
+left after that: a window of the full length decides, so the doubling ends there.
+
+A row is written once, with the block hashes of all lengths; a level reads the hashes of those rows only that survived the
+one before. Blocks, runs and windows have 64-bit polynomial hashes with bases of their own over one 64-bit hash of each word;
+windows are compared by their block's and their own, equal runs by their block's and the hash of all their windows.
 
 Texts go through one shuffle by row key; of rows without edge runs that is the end, the rest go through a second.
 Counts are aggregated before they are shuffled. Keys that repeat are written before they are joined with their
 occurrences: then both sides of the join are plain shuffles, of which Spark splits the hot partitions (there is one row
 for a key on the other side). Lists are gathered only per row (bounded by its text).
 
-Rows: null text counts as empty (no words). Repeated rows and repeated ids count as separate documents and stay.
+Rows: null text counts as empty (no words). Repeated rows and repeated ids count as separate documents and stay; what repeated
+rows (one id, also null, and one text) find is gathered once for all of them. Ids are cast to long; other columns are left out.
 """
 
 from __future__ import annotations
@@ -32,8 +38,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import forget, map_arrow, materialise, table
 
-WINDOW = 35
+WINDOW, SHORTEST = 35, 9
 _B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_UPPER, _LOWER = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -92,48 +99,78 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def windows_of(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per full window: its anchor and its own hash."""
-    one = np.fromiter(map(_HASHES.__getitem__, words), "u8", len(words))
-    half = (window + 1) // 2
-    anchors = _least(_mix(_doubled(one, half, _B1)), window - half + 1)
-    return anchors, _mix(_doubled(one, window, _B2))
+def lengths(window: int, shortest: int = SHORTEST) -> list[int]:
+    """Rising block lengths below the window, each at most doubled by the next."""
+    out = [(window + 1) // 2]
+    while out[0] > shortest:
+        out.insert(0, (out[0] + 1) // 2)
+    return out
 
 
-def runs_of(anchors: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: start, length, hash of all their windows, and whether a window repeats in it."""
-    start = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
-    size = np.diff(np.concatenate([start, [len(anchors)]]))
-    at = (np.arange(len(anchors)) - np.repeat(start, size)).astype("u8")
+def windows_of(words: list[bytes], window: int, shortest: int = SHORTEST) -> tuple[list[np.ndarray], np.ndarray]:
+    """Per full window: its block's hash at each length, and its own hash."""
+    one = np.fromiter(map(_HASHES.__getitem__, words), "u8", len(words))
+    steps = lengths(window, shortest)
+    size, n = steps[0], len(words) - window + 1
+    block = _mix(_doubled(one, size, _B1))
+    # the upper half of the hash chooses the anchor, of equal ones the leftmost: its place is the lower half
+    place = _least((block & _UPPER) | np.arange(len(block), dtype="u8"), window - size + 1) & _LOWER
+    place = place.astype("i8")
+    out, start = [block[place]], np.arange(n)
+    for longer in steps[1:]:
+        right = place + longer <= start + window
+        place = np.where(right, place, place + size - longer)
+        size = longer
+        out.append(_mix(_doubled(one, size, _B1))[place])
+    return out, _mix(_doubled(one, window, _B2))
+
+
+def _begins(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([[True], x[1:] != x[:-1]])
+
+
+def runs_of(blocks: list[np.ndarray], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Runs of windows with the same blocks at all lengths: start, length, hash of all their windows. And for each length the weight of
+    a run: 1 where the block's own run begins, 2 if a window repeats in that, else 0."""
+    start = np.flatnonzero(np.logical_or.reduce([_begins(x) for x in blocks]))
+    size = np.diff(np.concatenate([start, [len(hashes)]]))
+    at = (np.arange(len(hashes)) - np.repeat(start, size)).astype("u8")
     value = np.add.reduceat(_mix(hashes + at * _B1), start) + size.astype("u8")
-    twice = np.zeros(len(start), bool)
     order = np.sort(hashes)
-    if (order[1:] == order[:-1]).any():
-        for k in np.flatnonzero(size > 1):
-            own = hashes[start[k] : start[k] + size[k]]
-            twice[k] = len(np.unique(own)) < len(own)
-    return start, size, value, twice
-
-
-RUNS = "anchor long, run long, doc_id long, th int, a int, n int, twice int"
-
-
-def _runs(rows: DataFrame, window: int) -> DataFrame:
-    def run(batch: pa.RecordBatch) -> dict:
+    again = (order[1:] == order[:-1]).any()
+    weights = []
+    for x in blocks:
+        begin = _begins(x)
+        weight = begin.astype("i4")
+        if again:
+            own = np.flatnonzero(begin)
+            for a, b in zip(own.tolist(), [*own[1:].tolist(), len(hashes)], strict=True):
+                if b - a > 1 and len(np.unique(hashes[a:b])) < b - a:
+                    weight[a] = 2
+        weights.append(weight[start])
+    return start, size, value, weights
+
+
+def _runs(rows: DataFrame, window: int, shortest: int) -> DataFrame:
+    levels = len(lengths(window, shortest))
+    schema = ", ".join(f"b{k} long, w{k} int" for k in range(levels)) + ", run long, doc_id long, th long, a int, n int"
+
+    def run(batch: pa.RecordBatch) -> dict | None:
         keep: list[tuple] = []
         for k, text in enumerate(batch.column(2).to_pylist()):
             words = words_of(text)
             if len(words) >= window:
-                anchors, hashes = windows_of(words, window)
-                start, size, value, twice = runs_of(anchors, hashes)
-                keep.append((anchors[start], value, np.full(len(start), k), start, size, twice))
+                blocks, hashes = windows_of(words, window, shortest)
+                start, size, value, weights = runs_of(blocks, hashes)
+                keep.append((value, np.full(len(start), k), start, size, *(x[start] for x in blocks), *weights))
         if not keep:
             return None
-        anchor, value, which, start, size, twice = (np.concatenate(x) for x in zip(*keep, strict=True))
+        value, which, start, size, *rest = (np.concatenate(x) for x in zip(*keep, strict=True))
         which = pa.array(which)
-        return {"anchor": anchor.view("i8"), "run": value.view("i8"), "doc_id": batch.column(0).take(which), "th": batch.column(1).take(which), "a": start.astype("i4"), "n": size.astype("i4"), "twice": twice.astype("i4")}
+        out = {"run": value.view("i8"), "doc_id": batch.column(0).take(which), "th": batch.column(1).take(which), "a": start.astype("i4"), "n": size.astype("i4")}
+        return out | {f"b{k}": rest[k].view("i8") for k in range(levels)} | {f"w{k}": rest[levels + k] for k in range(levels)}
 
-    return map_arrow(rows, run, RUNS)
+    return map_arrow(rows, run, schema)
 
 
 def _covered(n_words: int, window: int, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -144,7 +181,7 @@ def _covered(n_words: int, window: int, starts: np.ndarray, sizes: np.ndarray) -
     return np.cumsum(edge[:-1]) > 0
 
 
-FOUND = "kind int, doc_id long, th int, text string, n_words long, n_removed long, kept string, starts array<int>, sizes array<int>, anchor long, hash long, at int, weight long"
+FOUND = "kind int, doc_id long, th long, text string, n_words long, n_removed long, kept string, starts array<int>, sizes array<int>, anchor long, hash long, at int, weight long"
 
 
 def _row(**values) -> dict:
@@ -153,9 +190,9 @@ def _row(**values) -> dict:
     return {k: values[k] if k in values else [None] * n for k in names}
 
 
-def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
+def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, shortest: int = SHORTEST) -> DataFrame:
     """(doc_id, th, n_words, n_removed, kept): kept words joined by one space (or their SHA-256 in hex, with ``digest``);
-    th is a 32-bit hash of the text, which tells rows of one id apart. One row per row of ``docs``."""
+    th is a 64-bit hash of the text, which tells rows of one id apart. One row per row of ``docs``."""
     if window < 2:
         raise ValueError("a window has two words at least")
     spark = docs.sparkSession
@@ -163,19 +200,24 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
     def given(kept: bytes) -> str:
         return hashlib.sha256(kept).hexdigest() if digest else kept.decode("utf-8", "surrogatepass")
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.hash(F.col(f"`{text_col}`").cast("string")).alias("th"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    # level 1: anchors that occur again
-    runs, runs_path = materialise(_runs(rows, window), "runs")
-    again, again_path = materialise(runs.groupBy("anchor").agg(F.sum(F.lit(1) + F.col("twice")).alias("c")).where("c > 1").select(F.col("anchor").alias("x")), "again")
-    live, live_path = materialise(runs.join(again, runs["anchor"] == again["x"]).select("anchor", "run", "doc_id", "th", "a", "n"), "live")
-    forget(spark, runs_path, again_path)
-    # level 2: equal runs, and one run for each distinct one
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("th"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    # block lengths below the window: rows whose block occurs again
+    live, live_path = materialise(_runs(rows, window, shortest), "runs")
+    levels = len(lengths(window, shortest))
+    for k in range(levels):
+        block = f"b{k}"
+        again, again_path = materialise(live.groupBy(block).agg(F.sum(f"w{k}").alias("c")).where("c > 1").select(F.col(block).alias("x")), "again")
+        more = [c for j in range(k + 1, levels) for c in (f"b{j}", f"w{j}")] or [F.col(block).alias("anchor")]
+        alive, alive_path = materialise(live.join(again, live[block] == again["x"]).select(*more, "run", "doc_id", "th", "a", "n"), "live")
+        forget(spark, live_path, again_path)
+        live, live_path = alive, alive_path
+    # the full length: equal runs, and one run for each distinct one
     kinds, kinds_path = materialise(live.groupBy("anchor", "run").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "a", "n")).alias("one")), "kinds")
     mixed, mixed_path = materialise(kinds.groupBy("anchor").agg(F.min("c").alias("least")).where("least = 1").select(F.col("anchor").alias("x")), "mixed")
     edge = kinds.join(mixed, kinds["anchor"] == mixed["x"]).select("one.doc_id", "one.th", "anchor", "one.a", "one.n", F.col("c").alias("weight"))
     whole = kinds.where("c > 1").select(F.col("anchor").alias("x"), F.col("run").alias("y"))
     whole = live.join(whole, (live["anchor"] == whole["x"]) & (live["run"] == whole["y"])).select("doc_id", "th", F.lit(None).cast("long").alias("anchor"), "a", "n", F.lit(0).cast("long").alias("weight"))
-    lists = whole.unionByName(edge).groupBy("doc_id", "th").agg(F.collect_list(F.struct("anchor", "a", "n", "weight")).alias("found"))
+    lists = whole.unionByName(edge).groupBy("doc_id", "th").agg(F.collect_set(F.struct("anchor", "a", "n", "weight")).alias("found"))
     lists = lists.select(F.col("doc_id").alias("i"), F.col("th").alias("t"), "found")
     joined = rows.join(lists, rows["doc_id"].eqNullSafe(lists["i"]) & (rows["th"] == lists["t"]), "left").select("doc_id", "th", "text", "found.anchor", "found.a", "found.n", "found.weight")
 
@@ -190,7 +232,7 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
             own = [k for k, w in enumerate(weights or ()) if w]  # runs of which windows are to be counted
             full = np.array([(a[k], n[k]) for k, w in enumerate(weights or ()) if not w], "i8").reshape(-1, 2)
             if own:
-                _, hashes = windows_of(words, window)
+                hashes = _mix(_doubled(np.fromiter(map(_HASHES.__getitem__, words), "u8", len(words)), window, _B2))
                 for k in own:
                     size = n[k]
                     some["doc_id"] += [doc_id] * size
@@ -212,11 +254,11 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
 
     found, found_path = materialise(map_arrow(joined, extend, FOUND), "found")
     forget(spark, live_path, kinds_path, mixed_path)
-    # the doubled length: full windows of the edge runs that occur again
+    # full windows of the edge runs that occur again
     spots = found.where("kind = 3").select("doc_id", "th", "anchor", "hash", "at", "weight")
     repeat, _ = materialise(spots.groupBy("anchor", "hash").agg(F.sum("weight").alias("c")).where("c > 1").select(F.col("anchor").alias("x"), F.col("hash").alias("y")), "repeat")
     spots = spots.where("weight = 1").join(repeat, (F.col("anchor") == F.col("x")) & (F.col("hash") == F.col("y")))
-    lists = spots.groupBy("doc_id", "th").agg(F.collect_list("at").alias("more")).select(F.col("doc_id").alias("i"), F.col("th").alias("t"), "more")
+    lists = spots.groupBy("doc_id", "th").agg(F.collect_set("at").alias("more")).select(F.col("doc_id").alias("i"), F.col("th").alias("t"), "more")
     rest = found.where("kind = 2").select("doc_id", "th", "text", "starts", "sizes")
     rest = rest.join(lists, rest["doc_id"].eqNullSafe(lists["i"]) & (rest["th"] == lists["t"]), "left").select("doc_id", "th", "text", "starts", "sizes", "more")
 
@@ -231,7 +273,7 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
                 column.append(value)
         return {"doc_id": batch.column(0), "th": batch.column(1)} | out
 
-    last = map_arrow(rest, finish, "doc_id long, th int, n_words long, n_removed long, kept string")
+    last = map_arrow(rest, finish, "doc_id long, th long, n_words long, n_removed long, kept string")
     return found.where("kind = 1").select("doc_id", "th", "n_words", "n_removed", "kept").unionByName(last)
 
 

@@ -7,10 +7,11 @@ each fit keeps the features that a chi-square test ties to its category. The dec
 the last model's out-of-fold probabilities, weighted to the shares that the classes have among all labelled rows.
 
 The chain is fitted on at most ``MAX_PER_CLASS`` labelled rows of each class of the last category, those of the
-smallest hash; classes are counted over all labelled rows, and all documents are scored in one pass without a shuffle.
+smallest hash among those that have a document; classes are counted over all of these, and all documents are scored in one pass without a shuffle.
 
 Rows: null and empty texts have no features and get the probabilities of the intercepts. Label rows with a null id or
-label are left out, of several for one id the larger counts. Without both classes nothing is rejected.
+label are left out, of several for one id the larger counts; several rows of one id are fitted each. Rows of equal features
+get equal probabilities; a text is scored whole, whatever its length. Without both classes nothing is rejected.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_text, map_arrow, table
+from millrace.llm.common import filter_rows, forget, id_text, map_arrow, materialise, table
 
 #: Labelled rows of either class of the last category that are fitted.
 MAX_PER_CLASS = 3000
@@ -55,7 +56,7 @@ def _text_features(text: str | None) -> bytes:
 
 @dataclass
 class Linear:
-    """Weights by feature, the intercept, and weights of the earlier categories' log-odds."""
+    """Weights by feature, the intercept, and weights of the earlier categories' probabilities."""
 
     weights: dict[int, float] = field(default_factory=dict)
     bias: float = 0.0
@@ -72,6 +73,10 @@ class Chain:
     threshold: float
 
 
+def _sigmoid(x):
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+
 def _value(ids: np.ndarray) -> np.ndarray:
     return np.where(ids & 1, PREFIX_VALUE, 1.0)
 
@@ -131,7 +136,7 @@ def fit_linear(rows: list[np.ndarray], y: np.ndarray, earlier: np.ndarray) -> Li
 
     def f(w: np.ndarray):
         z = np.bincount(row, val * w[col], minlength=n) + w[k] + earlier @ w[k + 1 :]
-        p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+        p = _sigmoid(z)
         loss = np.mean(np.logaddexp(0, z) - y * z) + RIDGE / 200 * (w[:k] @ w[:k] + w[k + 1 :] @ w[k + 1 :])
         r = (p - y) / n
         grad = np.concatenate([np.bincount(col, val * r[row], minlength=k) + RIDGE / 100 * w[:k], [r.sum()], earlier.T @ r + RIDGE / 100 * w[k + 1 :]])
@@ -160,7 +165,7 @@ def fit_chain(rows: list[np.ndarray], labels: np.ndarray, categories: tuple[str,
                 model = fit_linear([r for r, o in zip(rows, out, strict=True) if not o], y[~out], earlier[~out])
                 last[out] = _scores(model, [r for r, o in zip(rows, out, strict=True) if o], earlier[out])
         models.append(fit_linear(rows, y, earlier))
-        earlier = np.column_stack([earlier, np.clip(last, -8, 8)])
+        earlier = np.column_stack([earlier, _sigmoid(last)])
     return Chain(categories, models, _threshold(last, labels[:, -1] if n else np.zeros(0), shares))
 
 
@@ -181,6 +186,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
     """A chain for ``docs`` (doc_id, text) and ``labels`` (doc_id and a 0/1 column for each category)."""
     last = categories[-1]
     marks = labels.where(" AND ".join(f"`{c}` IS NOT NULL" for c in ("doc_id", *categories))).groupBy(F.col("doc_id").cast("long").alias("id")).agg(*[F.max(F.col(c).cast("int")).alias(c) for c in categories])
+    # a label without a document is no sample; written, as it is read three times
+    marks, path = materialise(marks.join(id_text(docs).select(F.col("doc_id").alias("own")), F.col("id") == F.col("own"), "left_semi"), "labels")
     share = {r[0]: r[1] for r in marks.groupBy(F.col(last) > 0).count().collect()}
     sample = None
     for positive in (True, False):
@@ -193,6 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
 
     schema = "id long, x binary, " + ", ".join(f"`{c}` int" for c in categories)
     got = sorted(map_arrow(chosen.select("doc_id", "text", *categories), run, schema).collect(), key=lambda r: (xxhash.xxh64_intdigest(str(r[0])), r[0], bytes(r[1])))
+    forget(docs.sparkSession, path)
     rows = [np.frombuffer(bytes(r[1]), "i8") for r in got]
     y = np.array([[int(v > 0) for v in r[2:]] for r in got]).reshape(len(got), len(categories))
     n1 = int(y[:, -1].sum())
@@ -228,8 +236,8 @@ class _Scorer:
         for model in self.chain.models:
             get = model.weights.get
             score = model.score(sum(get(i, 0.0) * (PREFIX_VALUE if i & 1 else 1.0) for i in sorted(found)), earlier)
-            earlier.append(min(8.0, max(-8.0, score)))
-        return [1 / (1 + np.exp(-min(40.0, max(-40.0, s)))) for s in [*earlier[:-1], score]], score > self.chain.threshold
+            earlier.append(float(_sigmoid(score)))
+        return earlier, score > self.chain.threshold
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
@@ -246,19 +254,12 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
 
 def clean(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the chain doesn't reject, with all their columns."""
-    scorer = _Scorer(chain)
-    schema = docs.schema
-    at = docs.columns.index(text_col)
-
-    def run(batches):
-        for batch in batches:
-            keep = [not scorer.probabilities(t)[1] for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    from millrace.session import ship
+    def keep():
+        scorer = _Scorer(chain)
+        return lambda text: not scorer.probabilities(text)[1]
 
-    ship(docs.sparkSession)
-    return docs.mapInArrow(run, schema)
+    return filter_rows(docs, keep, text_col)
 
 
 def chain_for(docs: DataFrame, labels: DataFrame) -> Chain:

@@ -10,7 +10,9 @@ Characters are folded to an alphabet of ``len(ALPHABET) + 2`` symbols, hence the
 ``ORDER + 1`` grams: the score table has a proven bound (about 70,000 rows at order 2) and is broadcast to the
 URLs. Counts are pre-aggregated by gram, scores by URL, so no common host or gram gathers rows in one task.
 
-Rows: a null url, or one without ``://``, has an empty host and path. Without both classes the method allows all.
+Rows: a null url, or one without ``://``, has an empty host and path; such a line has the score 0. If the held-out share lacks a class,
+all decided URLs calibrate; without both classes at all the method allows all. Repeated rows stay; equal URLs have equal scores, and
+one exactly at the threshold is allowed. URLs of any length are scored whole; other columns are left out.
 """
 
 from __future__ import annotations
@@ -94,12 +96,16 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_co
     counts = grams.groupBy("gram").agg(*[F.sum(F.when(fit & (F.col("said") == v), F.col("n")).otherwise(0)).alias(c) for c, v in (("good", "allow"), ("bad", "block"))])
     counts, _ = materialise(counts, "grams")
     deltas, _ = materialise(score_table(counts), "deltas")
+    def scored_lines(asked: DataFrame, tag: str) -> DataFrame:
+        letters = asked.select("line", "said", "n", F.explode_outer(grams_of(F.col("line"))).alias("gram"))
+        scored = letters.join(F.broadcast(deltas), "gram", "left").groupBy("line", "said").agg(F.max("n").alias("n"), F.round(F.coalesce(F.avg("delta"), F.lit(0.0)), 6).alias("score"))
+        return materialise(scored, tag)[0]
+
     # score the lines that no rule decides, and those held out for calibration
-    asked = lines.where(F.col("said").isNull() | F.col("held"))
-    letters = asked.select("line", "said", "n", F.explode_outer(grams_of(F.col("line"))).alias("gram"))
-    scored = letters.join(F.broadcast(deltas), "gram", "left").groupBy("line", "said").agg(F.max("n").alias("n"), F.round(F.coalesce(F.avg("delta"), F.lit(0.0)), 6).alias("score"))
-    scored, _ = materialise(scored, "scores")
+    scored = scored_lines(lines.where(F.col("said").isNull() | F.col("held")), "scores")
     cut = threshold(scored.where("said IS NOT NULL")).first()  # one row
+    if cut is None:  # a class has no line held out: all decided lines calibrate
+        cut = threshold(scored_lines(lines.where("said IS NOT NULL"), "decided")).first()
     own = F.when(F.col("score") >= (cut["threshold"] if cut else float("-inf")), "allow").otherwise("block")
     free = scored.where("said IS NULL").select(F.col("line").alias("asked"), "score", own.alias("own"))
     out = base.join(free, (F.col("line") == F.col("asked")) & F.col("said").isNull(), "left")

@@ -9,12 +9,14 @@ leaves no duplicates.
 ``read`` deals byte ranges of the archives out to tasks. A task looks for gzip magic from its range's start, validates
 each candidate by decoding the member's first bytes to a WARC header, and owns the records that start inside its range,
 reading past the range's end where the last one goes on. Candidates inside other members' compressed data do not decode
-to a header and are skipped. (A stored member could hold a whole other archive only as binary payload; payloads here
+to a header and are skipped. A range is read front to back, each byte once: what a record leaves of a chunk is the next one's. (A stored member could hold a whole other archive only as binary payload; payloads here
 are UTF-8, in which the magic's second byte cannot follow the first.)
 
 Files are opened through ``pyarrow.fs`` by URI, so the shared folder can be any store it reads.
 
-Rows: null html is an empty payload. Repeated rows are records of their own; rows with a null page_id are responses.
+Rows: null html is an empty payload. Repeated rows are records of their own; rows with a null page_id are responses. Of equal
+payloads the least page_id is the response, also where several rows have it. A record is held whole while it is written or read;
+batches of records are handed on as they fill. Other columns are left out.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from millrace.llm.common import map_arrow, materialise, table
 from millrace.session import shared_dir, ship
 
 MIN_REVISIT, LEVEL = 100, 1
-RANGE, CHUNK, FILE_BYTES = 4 << 20, 256 << 10, 256 << 20
+RANGE, CHUNK, STEP, FILE_BYTES = 4 << 20, 256 << 10, 32 << 10, 256 << 20
 MAGIC = b"\x1f\x8b\x08"
 
 
@@ -124,59 +126,73 @@ def _header(text: bytes) -> dict[str, str] | None:
 
 
 class Range:
-    """Records of one file that start in [start, end)."""
+    """Records of one file that start in [start, end), read front to back in chunks; ``n_read`` counts the bytes."""
 
     def __init__(self, file, size: int, start: int, end: int):
-        self.file, self.size, self.start, self.end = file, size, start, end
+        self.file, self.size, self.end, self.n_read = file, size, end, 0
+        self._go(start)
 
-    def _read(self, at: int, n: int) -> bytes:
+    def _go(self, at: int) -> None:
         self.file.seek(at)
-        return self.file.read(min(n, self.size - at))
-
-    def _member(self, at: int) -> tuple[dict[str, str], bytes, int] | None:
-        """Header, block and end of the member at ``at``; None if none starts there."""
-        z, here, text = zlib.decompressobj(31), at, b""
-        pieces: list[bytes] = []
-        fields = None
-        while here < self.size and not z.eof:
-            raw = self._read(here, CHUNK)
-            here += len(raw)
+        self.buf, self.low, self.base = b"", 0, at  # bytes from base on, of which those before low are done with
+
+    def _more(self) -> bool:
+        raw = self.file.read(min(CHUNK, self.size - self.base - len(self.buf)))
+        self.n_read += len(raw)
+        self.buf, self.base, self.low = self.buf[self.low :] + raw, self.base + self.low, 0
+        return bool(raw)
+
+    def _member(self) -> tuple[dict[str, str], bytes] | None:
+        """Header and block of the member at ``low``, which moves to its end; None if none starts there. Bytes stay in the buffer until a
+        WARC header is seen; a member that breaks off after that is looked into again from its second byte."""
+        z, at, start = zlib.decompressobj(31), self.low, self.base + self.low
+        head, pieces, fields = bytearray(), [], None
+        while not z.eof:
+            if at == len(self.buf):
+                if fields is not None:
+                    self.low = at
+                here = self.base + at
+                if not self._more():
+                    break
+                at = here - self.base
+            raw = memoryview(self.buf)[at : at + STEP]
+            at += len(raw)
             try:
                 got = z.decompress(raw)
             except zlib.error:
-                return None
+                break
             pieces.append(got)
             if fields is None:
-                text += got
-                if not b"WARC/".startswith(text[:5]) or len(text) > 1 << 20 and b"\r\n\r\n" not in text:
-                    return None
-                fields = _header(text)
-        if not z.eof or fields is None:
-            return None
-        whole = b"".join(pieces)
-        head = int(fields[""])
-        n = int(fields.get("content-length", "-1"))
-        if n < 0 or whole[head + n : head + n + 4] != b"\r\n\r\n":
-            return None
-        return fields, whole[head : head + n], here - len(z.unused_data)
+                seen = max(0, len(head) - 3)
+                head += got
+                if not b"WARC/".startswith(head[:5]):
+                    break
+                if head.find(b"\r\n\r\n", seen) >= 0:
+                    fields = _header(bytes(head))
+        if z.eof and fields is not None:
+            whole, first, n = b"".join(pieces), int(fields[""]), int(fields.get("content-length", "-1"))
+            if n >= 0 and whole[first + n : first + n + 4] == b"\r\n\r\n":
+                self.low = at - len(z.unused_data)
+                return fields, whole[first : first + n]
+        if self.base + self.low <= start + 1 <= self.base + len(self.buf):
+            self.low = start + 1 - self.base
+        else:
+            self._go(start + 1)
+        return None
 
     def records(self) -> Iterator[tuple[dict[str, str], bytes]]:
-        at = self.start
-        while at < self.end:
-            raw = self._read(at, CHUNK + len(MAGIC) - 1)
-            k = raw.find(MAGIC)
+        while True:
+            k = self.buf.find(MAGIC, self.low)
             if k < 0:
-                at += max(1, len(raw) - len(MAGIC) + 1)
+                self.low = max(self.low, len(self.buf) - len(MAGIC) + 1)
+                if self.base + self.low >= self.end or not self._more():
+                    return
                 continue
-            at += k
-            if at >= self.end:
+            self.low = k
+            if self.base + k >= self.end:
                 return
-            got = self._member(at)
-            if got is None:
-                at += 1
-                continue
-            yield got[0], got[1]
-            at = got[2]
+            if (got := self._member()) is not None:
+                yield got
 
 
 RECORDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary, intact boolean"
@@ -212,7 +228,7 @@ def read(manifest: DataFrame, step: int = RANGE, keep_payload: bool = False) ->
                 yield rows
 
     names = [x.split()[0] for x in RECORDS.split(", ")]
-    return map_arrow(parts, lambda batch: [dict(zip(names, zip(*rows, strict=True), strict=True)) for rows in run(batch)], RECORDS)
+    return map_arrow(parts, lambda batch: (dict(zip(names, zip(*rows, strict=True), strict=True)) for rows in run(batch)), RECORDS)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -208,3 +208,137 @@ def test_encode_rows(spark):
     assert table.count() == 4
     forget(spark, path)
     assert P.encode(df.where("false")).count() == 0
+
+
+# --- html: structure is a feature, the passes decide
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        (f"<article><p>{PROSE}<video-player src=x></video-player><p>{PROSE}<svg-icon/><p>End of it.</article>", "\n".join([PROSE.strip()] * 2 + ["End of it."])),
+        (f"<article><p>{PROSE}<button>Press<p>{PROSE}</article>", "\n".join([PROSE.strip()] * 2)),
+        (f"<article><p>{PROSE}</p><p class=advert>{PROSE}</p><p hidden>{PROSE}</p><p style='display: none'>{PROSE}</p><ul><li class=share>{PROSE}</ul><p>Stay<span class=cookie-notice> gone</span>.</article>", f"{PROSE.strip()}\nStay."),
+        (f"<body><form id=aspnet><nav><a href=x>Menu</a></nav><h1>Head</h1><p>{PROSE}</p></form></body>", f"Head\n{PROSE.strip()}"),
+        (f"<div class='post reviews'><h1>Head</h1><p>{PROSE * 2}</p></div>", f"Head\n{(PROSE * 2).strip()}"),
+        (f"<div class='post reviews'><p>{PROSE * 2}</p></div>", (PROSE * 2).strip()),
+        (f"<article><h1>Head</h1><p>{PROSE * 3}</p></article><article class=teaser><h2><a href=x>More</a></h2><p>{PROSE}</p></article>", f"Head\n{(PROSE * 3).strip()}"),
+        (f"<article><h1><a href=x>Linked head</a></h1><p>{PROSE}</p><p><a href=1>one two</a> <a href=2>three four five</a></p><p>Short.</p></article>", f"Linked head\n{PROSE.strip()}\nShort."),
+        (f"<article class=card><p>Teaser.</p></article><div><h1>Head</h1><p>{PROSE * 2}</p><p>{PROSE * 2}</p></div>", f"Head\n{(PROSE * 2).strip()}\n{(PROSE * 2).strip()}"),
+        (f"<main><header><h1>Title</h1></header><p>{PROSE}</p></main><p>&copy; us, and all of the rest is ours</p>", f"Title\n{PROSE.strip()}"),
+        ("<article><p>a < b and 2 > 1 <p>x</article>", "a < b and 2 > 1\nx"),
+        (f"<article><p>{PROSE}<noscript><div>no</div></noscript><select><option>one</select></p><script>x", PROSE.strip()),
+    ],
+)
+def test_structure_is_a_feature(html, want):
+    assert H.extract(html) == want
+
+
+def plain_decision(blocks, labels, edge):
+    """The second pass told block by block: look left and right for the nearest decided block; middling ones first."""
+    if edge == H.BAD and H.GOOD not in labels:
+        labels = [H.GOOD if x == H.NEAR else x for x in labels]
+    for kind in (H.NEAR, H.SHORT):
+        kept = plain_step(blocks, labels, edge)
+        labels = [(H.GOOD if k else H.BAD) if x == kind else x for k, x in zip(kept, labels, strict=True)]
+    return [x == H.GOOD for x in labels]
+
+
+def plain_step(blocks, labels, edge):
+    out = []
+    for i, (b, own) in enumerate(zip(blocks, labels, strict=True)):
+        if own == H.GOOD or own == H.BAD:
+            out.append(own == H.GOOD)
+            continue
+        left = next(((labels[j], i - j) for j in range(i - 1, -1, -1) if labels[j] in (H.GOOD, H.BAD)), (edge, i + 1))
+        right = next(((labels[j], j - i) for j in range(i + 1, len(labels)) if labels[j] in (H.GOOD, H.BAD)), (edge, len(labels) - i))
+        if b.heading:
+            out.append((left if i == len(labels) - 1 else right)[0] == H.GOOD)
+        elif left[0] == right[0]:
+            out.append(left[0] == H.GOOD)
+        elif left[1] != right[1]:
+            out.append(min(left, right, key=lambda x: x[1])[0] == H.GOOD)
+        else:
+            words = b.text.lower().split()
+            share = sum(w.strip(".,;:!?()\"'") in H.STOP_WORDS for w in words) / len(words)
+            out.append(share >= H.HIGH_STOP or own == H.SHORT and b.text.endswith((".", "!", "?", "…")) and b.links == 0)
+    return out
+
+
+def plain_label(b, inside):
+    words = b.text.lower().split()
+    share = sum(w.strip(".,;:!?()\"'") in H.STOP_WORDS for w in words) / len(words)
+    n = len(b.text)
+    if b.heading:
+        return H.SHORT
+    if b.links > 0.4 * n or (n < 140 and not inside and "©" in b.text):
+        return H.BAD
+    if n < 60:
+        return H.BAD if b.links and not inside else H.SHORT
+    if share >= 0.2:
+        return H.GOOD if n >= 140 or inside else H.NEAR
+    return H.NEAR if inside or share >= 0.08 else H.BAD
+
+
+def test_passes_by_brute_force():
+    rng = random.Random(11)
+    vocabulary = "the and of to in it stone river valley window garden quiet morning © walked".split()
+    for _ in range(3000):
+        blocks = []
+        for _ in range(rng.randrange(1, 14)):
+            text = " ".join(rng.choice(vocabulary) for _ in range(rng.choice([2, 5, 12, 40]))) + rng.choice(["", ".", "?"])
+            blocks.append(H.Block(text, rng.choice([0, 0, 0, len(text) // 5, len(text)]), 0, rng.random() < 0.1, ()))
+        for inside in (False, True):
+            labels = [H.first_pass(b, inside) for b in blocks]
+            assert labels == [plain_label(b, inside) for b in blocks]
+            edge = H.GOOD if inside else H.BAD
+            assert H.second_pass(blocks, labels, edge) == plain_decision(blocks, labels, edge)
+
+
+def test_every_page_of_the_table_by_its_article():
+    """The pages' articles are known: what the tags hold, block by block, told by another parser."""
+    import html.parser
+    import os
+
+    duckdb = pytest.importorskip("duckdb")
+    path = "/root/testdata/sf0.01/pages.parquet"
+    if not os.path.isfile(path):
+        pytest.skip("needs the generated tables")
+
+    class Article(html.parser.HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.on, self.out, self.skip = False, [""], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.on = self.on or tag == "article"
+            self.skip += tag in ("script", "style")
+            if tag in ("p", "h1", "h2", "li", "ul"):
+                self.out.append("")
+            if tag == "br":
+                self.out[-1] += " "
+
+        def handle_endtag(self, tag):
+            self.skip -= tag in ("script", "style")
+            if tag == "article":
+                self.on = False
+            if tag in ("p", "h1", "h2", "li", "ul", "article"):
+                self.out.append("")
+
+        def handle_data(self, data):
+            if self.on and not self.skip:
+                self.out[-1] += data
+
+    for (page,) in duckdb.sql(f"SELECT html FROM '{path}'").fetchall():
+        other = Article()
+        other.feed(page)
+        assert H.extract(page) == "\n".join(x for b in other.out if (x := " ".join(b.split())))
+
+
+def test_scan_is_linear():
+    import time
+
+    for piece in ("<a ", "<p><b>", "<a href='", "<button>", "<div><a>", "<noscript>", "<!--", "<li><div>", '<a "\'>'):
+        began = time.time()
+        H.extract(piece * (1_000_000 // len(piece)))
+        assert time.time() - began < 20, piece
