@@ -15,9 +15,9 @@ PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2048, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 #: Python workers give Arrow's memory back between batches, and run as many native threads as an executor has cores to spare.
 WORKER_ENV = {"ARROW_DEFAULT_MEMORY_POOL": "system", "RAYON_NUM_THREADS": "2"}
-#: Input bytes that a task should at least have before rows are dealt out anew, and the largest table (in bytes of its
-#: files) that is broadcast.
-SPREAD_BYTES, BROADCAST_BYTES = 1 << 20, 16 << 20
+#: Input bytes that a task should at least have before rows are dealt out anew, the largest table (in bytes of its files)
+#: that is broadcast, and a row group of the usual size.
+SPREAD_BYTES, BROADCAST_BYTES, ROW_GROUP = 1 << 20, 16 << 20, 128 << 20
 
 
 def _bytes(spark: SparkSession, value: str) -> int:
@@ -81,8 +81,9 @@ def size_of(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df``, a table just read, dealt out to more tasks where it has fewer partitions than cores (a single large row group,
-    say) and enough bytes to be worth it; otherwise as it is. Meant for before costly row-local steps."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    wanted = min(cores, size_of(df) // SPREAD_BYTES)
-    return df.repartition(wanted) if wanted > 1 and df.rdd.getNumPartitions() < wanted else df
+    """``df``, a table just read, dealt out to all cores where it is so small that its row groups (of ``ROW_GROUP`` bytes) may be
+    fewer than these, and large enough to be worth it; otherwise as it is. A file's splits don't tell: those without the start of a
+    row group are empty. Meant for before costly row-local steps."""
+    cores, size = df.sparkSession.sparkContext.defaultParallelism, size_of(df)
+    wanted = min(cores, size // SPREAD_BYTES)
+    return df.repartition(wanted) if wanted > 1 and size < cores * ROW_GROUP else df
