@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import chat
+from millrace.llm import chat, decontaminate, substrings, warc
 from millrace.llm.decontaminate import op10_decontamination
 from millrace.llm.html import op1_html
 from millrace.llm.media import op7_media
@@ -26,5 +26,8 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 ORACLES: dict[str, str] = {
+    "op5_substrings": substrings.ORACLE,
     "op6_preferences": chat.ORACLE,
+    "op9_warc": warc.ORACLE,
+    "op10_decontamination": decontaminate.ORACLE,
 }

@@ -208,3 +208,27 @@ def digest(found: DataFrame) -> DataFrame:
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+ORACLE = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+keys AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[a:a + n - 1], ' ') AS key
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS a FROM items WHERE len(w) > 0)),
+spots AS (
+  SELECT doc_id, n, a, array_to_string(w[a:a + n - 1], ' ') AS key
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS a FROM words, (SELECT DISTINCT n FROM keys) WHERE len(w) >= n)),
+found AS (SELECT doc_id, item_id, spots.n, a FROM spots JOIN keys USING (n, key)),
+hit AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(a, a + n)) AS i FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

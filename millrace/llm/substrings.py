@@ -280,3 +280,19 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = removals(table(spark, sf_dir, "documents"), digest=True)
     return out.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT doc_id, words, unnest(range(1, greatest(len(words) - 34, 0) + 1)) AS a FROM w),
+h AS (SELECT doc_id, a, md5(array_to_string(words[a:a + 34], ' ')) AS key FROM s),
+again AS (SELECT key FROM h GROUP BY key HAVING count(*) > 1),
+hit AS (SELECT DISTINCT doc_id, unnest(range(a, a + 35)) AS i FROM h SEMI JOIN again USING (key)),
+one AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM one ANTI JOIN hit USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""

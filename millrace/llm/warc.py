@@ -234,3 +234,14 @@ def read(manifest: DataFrame, step: int = RANGE, keep_payload: bool = False) ->
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write(table(spark, sf_dir, "pages"), f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}")
     return read(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+ORACLE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS one FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> one THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> one THEN one END AS refers_to, true AS intact
+FROM f
+"""
