@@ -210,6 +210,31 @@ def test_encode_rows(spark):
     assert P.encode(df.where("false")).count() == 0
 
 
+def test_every_whole_text_is_compared():
+    """A library that differs on whole texts only is noticed in each of them, not in a sample."""
+    own = P.Codec(P.read_model())
+    true = own.library
+
+    class Other:
+        def encode(self, texts, **more):
+            ids = true.encode(texts, **more)
+            return ids + [0] if isinstance(texts, str) and " " in texts else ids
+
+        def decode(self, ids):
+            return true.decode(ids) + "?"
+
+    own.library = Other()
+    texts = [f"word {i}" for i in range(200)]
+    got = own.encode([*texts, "word"])
+    assert [ok for _, ok in got] == [False] * 200 + [True]
+    assert not any(own.decoders_agree(ids, own.decode(ids)) for ids, _ in got)
+
+
+def test_every_row_is_verified(spark):
+    df = spark.createDataFrame([(i, f"text {i}  of many" if i % 9 else None) for i in range(300)], "doc_id long, text string")
+    assert all(r.verified and r.parity for r in P.encode(df).collect())
+
+
 # --- html: structure is a feature, the passes decide
 
 
