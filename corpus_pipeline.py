@@ -44,7 +44,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of texts linked by five-word shingles (similarity 0.8 or more) the document with the smallest id (a null
-    id only where there is no other); of repeated rows one, and of rows of one id and text that differ elsewhere one as well."""
+    id only where there is no other); of repeated rows one, and of rows of one id and text that differ elsewhere one as well.
+    Candidates are SimHash components (fingerprints within 4 bits, by pivot distance tables), and bands of minima for pairs beyond."""
     kept = minhash.representatives(docs)
     rows = _held(docs).join(_keys(kept), _same()).dropDuplicates(["key"])
     return _columns(docs, rows)

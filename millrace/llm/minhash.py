@@ -1,17 +1,23 @@
 """The near-duplicate operator's form for texts (``simhash`` has the one for fingerprints): links between documents whose five-word shingles have a Jaccard similarity of 0.8 or more.
 
 Shingles are those of ``simhash`` with five words (a shorter text is one shingle), kept as distinct 32-bit hashes. Texts
-with equal sets are one node. 125 minima under fixed permutations of the hashes make 25 bands of five: a pair at 0.8
+with equal sets are one node.
+
+SimHash comes first, with all its steps: a fingerprint of each node's set (each shingle once), buckets of block pairs, pivot
+distance tables, fingerprints within 4 bits, components (``simhash.links``, ``simhash.components``). Each component is a bucket,
+in which every link at 0.8 is found: of the pairs within 4 bits none is lost.
+
+Most pairs at 0.8 are farther apart than 4 bits; bands add these. 125 minima under fixed permutations of the hashes make 25 bands of five: a pair at 0.8
 has an equal band with probability 1 - (1 - 0.8^5)^25 = 0.99995, a nearer one with more. Every candidate pair is
 verified by its true similarity, unless the two are linked already.
 
-The distances of fingerprints don't serve here: texts at 0.8 differ in about ten of 64 bits, at which pivot distance tables
-discard next to nothing, and few such pairs lie within the four bits that block buckets find.
+A larger limit on fingerprints would not do instead: texts at 0.8 differ in about ten of 64 bits, at which pivot distance tables
+discard next to nothing and block buckets hold most of the table.
 
 Rows: null and wordless texts are one node, linked to nothing else. Rows with a null id come after all others of their group;
 of repeated rows one is kept. Other columns are left out.
 
-Bands with the same nodes are searched once. In a band of more than ``TILE`` nodes each is compared with one of them first, the
+Components and bands are searched alike, those with the same nodes once. In a band of more than ``TILE`` nodes each is compared with one of them first, the
 band's centre; ``simhash.components`` joins what is found in all bands. Then only nodes outside the band's largest group so far
 are compared with the others, in tiles of slices: pairs within a group are linked already, so nothing is lost and a large group
 of near copies costs in proportion to its size. Tiles return spanning forests.
@@ -27,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import simhash
 from millrace.llm.common import forget, id_text, map_arrow, materialise
 from millrace.llm.simhash import SEED, components
 from millrace.session import ship
@@ -59,17 +66,31 @@ def bands(own: np.ndarray) -> np.ndarray:
     return key.view("i8")
 
 
+def fingerprint(own: np.ndarray) -> int:
+    """SimHash of a set: a bit is set where over half of the hashes, mixed to 64 bits, have it; zero for the empty set."""
+    counts = np.zeros(64, "i8")
+    for at in range(0, len(own), 1 << 16):
+        key = (own[at : at + (1 << 16)].astype("u8") + np.uint64(SEED)) * np.uint64(0x9E3779B97F4A7C15)
+        for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            key = (key ^ (key >> np.uint64(shift))) * np.uint64(times)
+        key ^= key >> np.uint64(31)
+        counts += np.unpackbits(key.astype(">u8").view("u1").reshape(-1, 8), axis=1).sum(axis=0, dtype="i8")
+    return int.from_bytes(np.packbits(2 * counts > len(own)).tobytes(), "big")
+
+
 def nodes_of(docs: DataFrame) -> DataFrame:
-    """(node, one, bands, own): each distinct set of shingles, its row with the smallest id (null ids last), its hashes."""
+    """(node, one, fp, bands, own): each distinct set of shingles, its row with the smallest id (null ids last), its fingerprint
+    (as a signed long), band keys and hashes."""
 
     def run(batch: pa.RecordBatch) -> dict:
         sets = [shingles(t) for t in batch.column(1).to_pylist()]
         node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], "u8").view("i8")
-        return {"doc_id": batch.column(0), "th": batch.column(2), "node": node, "bands": [bands(s) for s in sets], "own": [s.tobytes() for s in sets]}
+        fp = np.array([fingerprint(s) for s in sets], "u8").view("i8")
+        return {"doc_id": batch.column(0), "th": batch.column(2), "node": node, "fp": fp, "bands": [bands(s) for s in sets], "own": [s.tobytes() for s in sets]}
 
-    rows = map_arrow(id_text(docs).withColumn("th", F.xxhash64("text")), run, "doc_id long, th long, node long, bands array<long>, own binary")
+    rows = map_arrow(id_text(docs).withColumn("th", F.xxhash64("text")), run, "doc_id long, th long, node long, fp long, bands array<long>, own binary")
     one = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "th")).alias("one")
-    return rows.groupBy("node").agg(one, F.any_value("bands").alias("bands"), F.any_value("own").alias("own"))
+    return rows.groupBy("node").agg(one, F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.any_value("own").alias("own"))
 
 
 def linked(sets: list[np.ndarray], part: np.ndarray, group: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -137,13 +158,21 @@ def _compared(tiles: DataFrame, nodes: DataFrame) -> DataFrame:
     return full.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(_search, "a long, b long")
 
 
+def near_fingerprints(nodes: DataFrame) -> DataFrame:
+    """(node, bucket): nodes with words whose fingerprints are equal or linked by steps of 4 bits or fewer share a bucket."""
+    own = nodes.where(F.length("own") > 0).select(F.col("node").alias("own_node"), "fp")
+    groups = components(simhash.links(own.select("fp").distinct()))
+    rows = own.join(groups, F.col("fp") == F.col("node"), "left")
+    return rows.select(F.col("own_node").alias("node"), F.xxhash64(F.lit(BANDS), F.coalesce("root", "fp")).alias("bucket"))
+
+
 def links(nodes: DataFrame) -> DataFrame:
     """(a, b): spanning forests of the links among ``nodes`` (a written table)."""
     spark = nodes.sparkSession
     ship(spark)
     zero = F.lit(0).cast("long")
     # a text without words is alone in its node: nothing else is similar to it
-    rows = nodes.where(F.length("own") > 0).select("node", F.explode("bands").alias("bucket"))
+    rows = nodes.where(F.length("own") > 0).select("node", F.explode("bands").alias("bucket")).unionByName(near_fingerprints(nodes))
     size = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")).where("n > 1")
     once = size.groupBy("n", "x", "y").agg(F.min("bucket").alias("hot")).select("hot", "n")
     rows, rows_path = materialise(rows.join(once, F.col("bucket") == F.col("hot")).select("node", "bucket", "n", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / TILE).cast("long")).alias("slice")), "bands")
