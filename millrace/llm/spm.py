@@ -6,7 +6,7 @@ The model protobuf is parsed here (wire format, no generated classes); from it a
 * the model: Unigram with its scores, or BPE whose merge order follows the scores, with byte fallback.
 
 No piece of the usual models goes on over a metaspace marker; then a text is the concatenation of its
-space-separated chunks; each distinct chunk is encoded once (``encode_batch``) and kept in a bounded
+space-separated chunks; each distinct chunk is encoded once, many joined in one call, and kept in a bounded
 cache, through the rebuilt normaliser. If a model has pieces over a marker, or an own normaliser map, whole texts are
 encoded. Every text is encoded by the ``sentencepiece`` library as a whole too and its ids compared; and every text's ids are
 decoded here, by the library and by the rebuilt decoder, and the three compared. No row is left out, so ``verified`` is true
@@ -34,8 +34,10 @@ from millrace.llm.common import id_text, map_arrow, table
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
-#: Chunks kept per worker, and characters beyond which a chunk is not kept.
+#: Chunks kept per worker and generation (of two), and characters beyond which a chunk is not kept.
 CACHE, CACHE_CHARS = 600_000, 64
+#: Chunks joined in one call, and ids spelt at once.
+TOGETHER, DECODED = 500, 50_000
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -101,9 +103,10 @@ class Model:
         return [(a, b) for *_, a, b in sorted(out)]
 
 
-def build(model: Model):
-    """The ``tokenizers`` pipeline of a parsed model."""
-    from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers
+def build(model: Model, chunks: bool = False):
+    """The ``tokenizers`` pipeline of a parsed model. With ``chunks``, for models whose texts fall apart at spaces, a text is cut
+    before each marker, and decoded pieces are joined before their markers are replaced (the same, unless bytes spell a marker)."""
+    from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
     if model.kind == "bpe":
         core = models.BPE(vocab=model.ids, merges=model.merges(), unk_token=model.pieces[model.unk][0], fuse_unk=True, byte_fallback=model.byte_fallback)
@@ -119,7 +122,10 @@ def build(model: Model):
         steps += [normalizers.Replace(" ", MARK)]
     if steps:
         out.normalizer = normalizers.Sequence(steps)
-    out.decoder = decoders.Sequence([decoders.Metaspace(MARK, "never"), decoders.ByteFallback(), decoders.Fuse()])
+    spaces, rest = decoders.Metaspace(MARK, "never"), [decoders.ByteFallback(), decoders.Fuse()]
+    out.decoder = decoders.Sequence([*rest, spaces] if chunks else [spaces, *rest])
+    if chunks:
+        out.pre_tokenizer = pre_tokenizers.Split(MARK, "merged_with_next")
     if users := [AddedToken(p, normalized=False, special=False) for p, _, kind in model.pieces if kind == USER]:
         out.add_tokens(users)
     return out
@@ -144,7 +150,12 @@ class Codec:
         # the empty chunk is a lone marker (after a last space): neither normaliser nor library gives that for an empty text
         self.lone = {"": _packer(1)(self.model.ids[MARK])} if self.split else {}
         self.cache: dict[str, bytes] = dict(self.lone)
-        self.bytes_of = [self._bytes(p, kind) for p, _, kind in self.model.pieces]
+        self.before: dict[str, bytes] = {}
+        self.joined = build(self.model, chunks=True) if self.split else None
+        self.starts = np.array([p.startswith(MARK) for p, *_ in self.model.pieces])
+        spelt = [self._bytes(p, kind) for p, _, kind in self.model.pieces]
+        self.sizes = np.array([len(x) for x in spelt])
+        self.offsets, self.spelt = np.cumsum(self.sizes) - self.sizes, np.frombuffer(b"".join(spelt), "u1")
 
     @staticmethod
     def _bytes(piece: str, kind: int) -> bytes:
@@ -168,6 +179,18 @@ class Codec:
         ours = self._batch(texts)
         return {text: pack(*ids) for text, pack, ids in zip(texts, (_packer(len(x)) for x in ours), ours, strict=True)}
 
+    def _packed_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        """Packed ids of distinct chunks, joined by spaces; in a chunk without spaces the first piece alone has a marker."""
+        plain = [x for x in chunks if " " not in x]
+        out = self._packed([x for x in chunks if " " in x]) if len(plain) < len(chunks) else {}
+        for at in range(0, len(plain), TOGETHER):
+            part = plain[at : at + TOGETHER]
+            (got,) = self.joined.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(got.ids, "<i4")
+            raw, first = ids.tobytes(), (4 * np.flatnonzero(self.starts[ids])).tolist()
+            out.update((x, raw[a:b]) for x, a, b in zip(part, first, [*first[1:], len(raw)], strict=True))
+        return out
+
     def _same(self, text: str, ids: bytes) -> bool:
         """Whether the library gives these ids for the whole text."""
         return self.library.encode(text, num_threads=1) == np.frombuffer(ids, "<i4").tolist()
@@ -178,32 +201,40 @@ class Codec:
             got = self._packed(list(dict.fromkeys(texts)))
             return [(got[t], self._same(t, got[t])) for t in texts]
         cut = [self._chunks(t) if t else [] for t in texts]
-        seen, cache = set().union(*cut), self.cache
-        new = list(seen.difference(cache))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            cache.update(self._packed(part))
+        cache, before = self.cache, self.before
+        new = set().union(*cut).difference(cache)
+        again = [x for x in new if x in before]
+        cache.update(zip(again, map(before.__getitem__, again), strict=True))
+        new = list(new.difference(again))
+        cache.update(self._packed_chunks(new))
         out = [b"".join(map(cache.__getitem__, parts)) for parts in cut]
-        if len(cache) > CACHE:  # the last texts' chunks are the likeliest to come again
-            self.cache = self.lone | {x: cache[x] for x in seen if len(x) <= CACHE_CHARS}
-        else:
-            for x in new:
-                if len(x) > CACHE_CHARS:
-                    del cache[x]
+        for x in new:
+            if len(x) > CACHE_CHARS:
+                del cache[x]
+        if len(cache) > CACHE:  # chunks that come again move on from the generation before
+            self.cache, self.before = dict(self.lone), cache
         return [(ids, self._same(t, ids)) for t, ids in zip(texts, out, strict=True)]
 
+    def _spell(self, ids: np.ndarray) -> bytes:
+        sizes = self.sizes[ids]
+        at = np.repeat(self.offsets[ids] - np.cumsum(sizes) + sizes, sizes)
+        at += np.arange(len(at))
+        return self.spelt[at].tobytes()
+
     def decode(self, ids: bytes) -> bytes:
         """The text's UTF-8, without the dummy prefix."""
-        out = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<i4").tolist()))
+        own = np.frombuffer(ids, "<i4")
+        out = b"".join(self._spell(own[at : at + DECODED]) for at in range(0, len(own), DECODED))
         if self.model.dummy_prefix and out.startswith(b" "):
             out = out[1:]
         return out
 
     def decoders_agree(self, ids: bytes, back: bytes) -> bool:
         """Whether ``back``, decoded here, is what the library and the rebuilt decoder give."""
-        own = np.frombuffer(ids, "<i4").tolist()
+        own = np.frombuffer(ids, "<i4")
         text = back.decode("utf-8", "replace")
-        rebuilt = self.tokenizer.decode(own, skip_special_tokens=False) if own else ""
+        decoder = self.joined if self.split and MARK not in text else self.tokenizer
+        rebuilt = decoder.decode(own.tolist(), skip_special_tokens=False) if ids else ""
         if self.model.dummy_prefix and rebuilt.startswith(" "):
             rebuilt = rebuilt[1:]
         return text == rebuilt == self.library.decode(own)

@@ -230,6 +230,57 @@ def test_every_whole_text_is_compared():
     assert not any(own.decoders_agree(ids, own.decode(ids)) for ids, _ in got)
 
 
+class Counted:
+    """A tokenizer that notes how many texts and words it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.texts, self.words = inner, 0, 0
+
+    def encode_batch_fast(self, texts, **more):
+        self.texts += len(texts)
+        self.words += sum(len(t.split(" ")) for t in texts)
+        return self.inner.encode_batch_fast(texts, **more)
+
+
+def counted(own):
+    out = [Counted(getattr(own, name)) for name in ("tokenizer", "joined") if hasattr(own, name)]
+    for name, one in zip(("tokenizer", "joined"), out, strict=False):
+        setattr(own, name, one)
+    return out
+
+
+def test_chunks_are_encoded_together():
+    own = P.Codec(P.read_model())
+    count = counted(own)
+    odd = ["", " ", "a  b", "  a   ", "x▁y ▁", "é\n\tz 日本語", "😀 \x00", "<s> <0x0A>", "q" * 5000 + " r"]
+    texts = [" ".join(f"w{i}x{k}," for k in range(50)) for i in range(60)] + odd
+    got = own.encode(texts)
+    assert all(same for _, same in got)
+    assert sum(c.words for c in count) >= 3000 and sum(c.texts for c in count) < 30
+
+
+def test_a_full_cache_keeps_what_comes_again(monkeypatch):
+    monkeypatch.setattr(P, "CACHE", 50)
+    own = P.Codec(P.read_model())
+    count = counted(own)
+    many = " ".join(f"word{i}" for i in range(60))
+    first = own.encode([many])
+    own.encode(["other"])
+    words = sum(c.words for c in count)
+    assert own.encode([many]) == first and sum(c.words for c in count) == words == 61
+    for i in range(300):  # bounded all the same
+        assert own.encode([f"new{i} word7 {'z' * 100}{i}"])[0][1]
+        assert len(own.cache) + len(own.before) <= 2 * 50 + 65 and not any(len(x) > P.CACHE_CHARS for x in [*own.cache, *own.before])
+
+
+def test_bytes_that_spell_a_marker_decode_alike(codec):
+    import numpy as np
+
+    own = [codec.model.ids[p] for p in ("▁", "a", "<0xE2>", "<0x96>", "<0x81>", "▁", "b")]
+    ids = np.array(own, "<i4").tobytes()
+    assert codec.decode(ids).decode() == "a▁ b" and codec.decoders_agree(ids, codec.decode(ids))
+
+
 def test_every_row_is_verified(spark):
     df = spark.createDataFrame([(i, f"text {i}  of many" if i % 9 else None) for i in range(300)], "doc_id long, text string")
     assert all(r.verified and r.parity for r in P.encode(df).collect())
