@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -10,7 +12,27 @@ from pyspark.sql import functions as F
 
 from millrace.session import forget, materialise, ship
 
-__all__ = ["filter_rows", "forget", "id_text", "map_arrow", "materialise", "table"]
+__all__ = ["begin", "filter_rows", "forget", "id_text", "keeps", "map_arrow", "materialise", "table"]
+
+#: What operators keep in this worker process from task to task: by operator, how to drop it.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(owner: str, drop: Callable[[], None]) -> None:
+    """Tell that ``owner`` keeps something beyond a task."""
+    _KEPT[owner] = drop
+
+
+def begin(owner: str | None = None) -> None:
+    """At the start of a task: drop what operators other than ``owner`` keep, and give the memory back. Spark uses a worker
+    again for whatever comes next, which otherwise has the caches of all operators before beside its own."""
+    others = [x for x in _KEPT if x != owner]
+    for x in others:
+        _KEPT.pop(x)()
+    if others:
+        gc.collect()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc alone has it
+            trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,13 +44,15 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterable[dict] | None], schema: str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch; it returns columns by name, or several such dicts (lazily, if it is a generator)."""
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterable[dict] | None], schema: str, owner: str | None = None) -> DataFrame:
+    """Apply ``fn`` to each Arrow batch; it returns columns by name, or several such dicts (lazily, if it is a generator).
+    ``owner`` names what ``fn`` keeps from task to task, if it does (``keeps``)."""
     ship(df.sparkSession)
     names = [c.name for c in _struct(schema)]
     target = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(owner)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -68,6 +92,7 @@ def filter_rows(docs: DataFrame, keep: Callable[[], Callable[[str | None], bool]
     rows = docs.toDF(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin()
         test = keep()
         for batch in batches:
             yield batch.filter(pa.array([test(t) for t in batch.column(at).to_pylist()], pa.bool_()))

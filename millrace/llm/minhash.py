@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import simhash
-from millrace.llm.common import forget, id_text, map_arrow, materialise
+from millrace.llm.common import begin, forget, id_text, map_arrow, materialise
 from millrace.llm.simhash import SEED, components
 from millrace.session import ship
 
@@ -116,6 +116,7 @@ def linked(sets: list[np.ndarray], part: np.ndarray, group: np.ndarray) -> Itera
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    begin()
     held: list[pa.RecordBatch] = []
     left: list[int] = []
     right: list[int] = []

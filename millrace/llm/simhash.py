@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import forget, id_text, map_arrow, materialise, table
+from millrace.llm.common import begin, forget, id_text, map_arrow, materialise, table
 from millrace.session import ship
 
 SHINGLE, SEED, MAX_DISTANCE = 4, 42, 4
@@ -135,6 +135,7 @@ def _search(limit: int):
                 yield x[a], x[b]
 
     def run(batches):
+        begin()
         held: list[np.ndarray] = []
         for batch in batches:
             now = np.stack([np.asarray(batch.column(k)).astype("i8") for k in range(KEYS + 2)])

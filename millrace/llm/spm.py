@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm.common import id_text, map_arrow, table
+from millrace.llm.common import id_text, keeps, map_arrow, table
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -38,6 +38,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 CACHE, CACHE_CHARS = 600_000, 64
 #: Chunks joined in one call, and ids spelt at once.
 TOGETHER, DECODED = 500, 50_000
+#: Under this name a worker keeps codecs from task to task.
+OWNER = "sentencepiece"
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -244,8 +246,9 @@ _CODECS: dict[str, Codec] = {}
 
 
 def codec(raw: bytes) -> Codec:
-    """One codec for each model and worker process."""
+    """One codec for each model and worker process, until a task of another operator begins there."""
     key = hashlib.sha256(raw).hexdigest()
+    keeps(OWNER, _CODECS.clear)
     if key not in _CODECS:
         _CODECS[key] = Codec(raw)
     return _CODECS[key]
@@ -285,7 +288,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
             })
         return out
 
-    return map_arrow(id_text(docs), run, SCHEMA)
+    return map_arrow(id_text(docs), run, SCHEMA, OWNER)
 
 
 def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
@@ -297,7 +300,7 @@ def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
         lists = batch.column(1).to_pylist()
         return {"doc_id": batch.column(0), "text": [None if x is None else own.decode(np.asarray(x, "<i4").tobytes()).decode("utf-8", "replace") for x in lists]}
 
-    return map_arrow(tokens.select("doc_id", "ids"), run, "doc_id long, text string")
+    return map_arrow(tokens.select("doc_id", "ids"), run, "doc_id long, text string", OWNER)
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

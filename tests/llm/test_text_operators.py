@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from millrace.llm import decontaminate as D
 from millrace.llm import html as H
 from millrace.llm import media as M
+from millrace.llm import minhash, simhash
 from millrace.llm import spm as P
-from millrace.llm.common import forget, materialise
+from millrace.llm.common import forget, map_arrow, materialise
 
 # --- decontamination ---
 
@@ -418,3 +419,24 @@ def test_scan_is_linear():
         began = time.time()
         H.extract(piece * (1_000_000 // len(piece)))
         assert time.time() - began < 20, piece
+
+
+def test_workers_drop_what_other_operators_keep(spark):
+    docs = spark.createDataFrame([(i, f"word {i} in a text") for i in range(64)], "doc_id long, text string").repartition(16)
+
+    def held(batch):
+        return {"n": [len(P._CODECS)] * batch.num_rows}
+
+    assert P.encode(docs).count() == P.encode(docs).where("parity").count() == 64
+    with_owner = {r.n for r in map_arrow(docs, held, "n long", P.OWNER).collect()}
+    assert 1 in with_owner  # the operator's own next tasks still have it
+    assert {r.n for r in map_arrow(docs, held, "n long").collect()} == {0}
+    assert P.encode(docs).where("parity").count() == 64
+
+
+@pytest.mark.parametrize("search", [minhash._search, simhash._search(4)])
+def test_searches_begin_without_codecs(search):
+    P.codec(P.read_model()).encode(["a text"])
+    assert P._CODECS
+    assert list(search(iter([]))) == []
+    assert not P._CODECS
