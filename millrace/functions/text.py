@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
 #: What Java calls white space (no-break spaces are none), inside a character class that Java, RE2 and Python read alike.
 WHITE = r"\t-\r\x1C- \x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}"
 WHITE_PYTHON = "\t-\r\x1c- \u1680\u2000-\u2006\u2008-\u200a\u2028\u2029\u205f\u3000"
@@ -24,6 +26,21 @@ def words(text: Column) -> Column:
     return F.when((cut == "") & (text != ""), F.array().cast("array<string>")).otherwise(F.split(cut, " "))
 
 
+def words_arrow(texts: pa.Array) -> pa.ListArray:
+    """The same for Arrow; null where the text is."""
+    cut = pc.ascii_rtrim(texts, " ")
+    out = pc.split_pattern(cut, " ")
+    blank = pc.and_(pc.equal(cut, ""), pc.not_equal(texts, ""))
+    if not pc.any(blank).as_py():
+        return out
+    return pc.if_else(blank, pa.scalar([], out.type), out)
+
+
+def lengths(lists: pa.ListArray) -> np.ndarray:
+    """How many values each list has; none where it is null."""
+    return pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+
+
 def words_sql(text: str) -> str:
     """The same for DuckDB."""
     cut = f"regexp_replace({text}, ' +$', '')"

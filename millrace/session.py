@@ -15,9 +15,9 @@ PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2048, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 #: Python workers give Arrow's memory back between batches, and run as many native threads as an executor has cores to spare.
 WORKER_ENV = {"ARROW_DEFAULT_MEMORY_POOL": "system", "RAYON_NUM_THREADS": "2"}
-#: Input bytes that a task should at least have before rows are dealt out anew, the largest table (in bytes of its files)
-#: that is broadcast, and a row group of the usual size.
-SPREAD_BYTES, BROADCAST_BYTES, ROW_GROUP = 1 << 20, 16 << 20, 128 << 20
+#: Input bytes that a task should at least have before rows are dealt out anew, a row group of the usual size, and an
+#: estimate that stands for none.
+SPREAD_BYTES, ROW_GROUP, UNKNOWN_BYTES = 1 << 20, 128 << 20, 1 << 50
 
 
 def _bytes(spark: SparkSession, value: str) -> int:
