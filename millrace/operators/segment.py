@@ -14,10 +14,10 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import alternatives, quoted
+from millrace.functions.text import alternatives, char_class, quoted
 from millrace.session import ship
 from millrace.sources.resources import ABBREVIATIONS, BOUNDARIES, POST_LIST, Signed, compiled
 
@@ -54,9 +54,22 @@ def _decided(token: Column, rules: list[Signed], stop: bool) -> Column:
     return out
 
 
+def _cut_pattern(res: SegmentResources) -> str:
+    """A Java pattern for the spaces at which a text is cut, for lists without signed rules. What is rare is looked at first: the character
+    before the space, then the boundary, the token before it, and the tokens after it."""
+    marks = char_class({ord(b[-1]) for b in res.boundaries})
+    boundaries = alternatives(sorted(res.boundaries, key=len))
+    before = f"(?<!(?:^| ){alternatives(sorted(set(res.pre_list)))} )" if res.pre_list else ""
+    # an entry of the post-list may end in a boundary; the first place at which one reaches the token's end is where it is cut off
+    after = f"(?!{alternatives(sorted(set(res.post_list)))}{boundaries}?{'(?: |$)' if res.split_last else ' '})" if res.post_list else ""
+    return f" (?<={marks} )(?<={boundaries} ){before}(?=[^ ]+{'' if res.split_last else ' '}){after}"
+
+
 def segments(text: Column, res: SegmentResources | None = None) -> Column:
     """Array of the text's sentences."""
     res = res or SegmentResources()
+    if res.boundaries and not res.pre_rules and not res.post_rules and not set("".join(res.boundaries)) & set("".join(res.post_list)):
+        return F.filter(F.split(text, _cut_pattern(res)), lambda s: s != "")
     end = alternatives(res.boundaries) + "$"
     tokens = F.split(text, " ")
     # what follows each token, null after the last ones: lambdas see tokens only through their arguments
@@ -136,15 +149,21 @@ def _no_boundary(text: str, base: int, start: int, end: int, res: SegmentResourc
     return False
 
 
-def segment_exact(df: DataFrame, res: SegmentResources | None = None, text: str = "text", compat: bool = False) -> DataFrame:
-    """Like ``segment``, by ``segment_text``."""
+def segments_udf(spark: SparkSession, res: SegmentResources | None = None, compat: bool = False):
+    """``segment_text`` as a column function."""
     res = res or SegmentResources()
-    ship(df.sparkSession)
+    ship(spark)
 
     @F.arrow_udf("array<string>")
     def run(texts: pa.Array) -> pa.Array:
         return pa.array([None if t is None else segment_text(t, res, compat) for t in texts.to_pylist()], pa.list_(pa.string()))
 
+    return run
+
+
+def segment_exact(df: DataFrame, res: SegmentResources | None = None, text: str = "text", compat: bool = False) -> DataFrame:
+    """Like ``segment``, by ``segment_text``."""
+    run = segments_udf(df.sparkSession, res, compat)
     rest = [c for c in df.columns if c != text]
     rows = df.select(*rest, F.posexplode(run(F.col(text))).alias("seg", text))
     return rows.withColumn("seg", F.col("seg").cast("long"))

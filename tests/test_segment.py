@@ -1,7 +1,10 @@
+import random
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.segment import SegmentResources, segment, segment_exact, segment_text, segments
+from millrace.operators.segment import SegmentResources, _cut_pattern, segment, segment_exact, segment_text, segments
 from millrace.sources.resources import Signed
 
 RES = SegmentResources()
@@ -73,3 +76,16 @@ def test_java_patterns_decide(spark):
     text = "He met A. Miller there. Then he left us."
     assert segment_text(text, res) == ["He met A. Miller there.", "Then he left us."]
     assert spark.createDataFrame([(text,)], "text string").select(segments(F.col("text"), res)).first()[0] == ["He met A. Miller there.", "Then he left us."]
+
+
+def test_the_pattern_for_lists_cuts_as_token_by_token(spark):
+    """Random lines by the one pattern, and by the form for rules (with a rule that never matches). What the pattern looks at first is one
+    character, not every boundary at every place."""
+    rng = random.Random(4)
+    parts = ["Dr.", "dr.", "Mai", "Mai.", 'mai."', "März!", "z.B.", "a", "b.", 'c."', "d!”", "", "e…", "Mai..", "p.", "xp.", "É?", "(Dr.", "f.)", "3."]
+    rows = spark.createDataFrame([(k, " ".join(rng.choice(parts) for _ in range(rng.randrange(12)))) for k in range(3000)], "k int, text string")
+    for own in (SegmentResources(), SegmentResources(split_last=True), SegmentResources(pre_list=[]), SegmentResources(post_list=[]), SegmentResources(post_list=["Mai."])):
+        slow = replace(own, pre_rules=[Signed("never", False)])
+        both = rows.select("k", segments(F.col("text"), own).alias("a"), segments(F.col("text"), slow).alias("b"))
+        assert both.where("a <> b").take(3) == [] and both.where("size(a) > 1").count() > 100
+    assert _cut_pattern(SegmentResources()).startswith(" (?<=[")
