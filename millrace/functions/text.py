@@ -41,6 +41,18 @@ def lengths(lists: pa.ListArray) -> np.ndarray:
     return pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
 
 
+def mapped(lists: pa.ListArray, codes: np.ndarray, values: pa.Array) -> pa.Array:
+    """The lists' entries by their values, joined by single spaces; empty values go, null lists stay null. codes: a place in values for
+    each entry."""
+    n = lengths(lists)
+    if pc.any(pc.equal(values, "")).as_py():
+        kept = pc.not_equal(values, "").to_numpy(zero_copy_only=False)[codes]
+        n, codes = np.bincount(np.repeat(np.arange(len(n)), n)[kept], minlength=len(n)), codes[kept]
+    offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+    out = pc.binary_join(pa.ListArray.from_arrays(offsets, values.take(pa.array(codes))), " ")
+    return pc.if_else(lists.is_valid(), out, pa.scalar(None, pa.string())) if lists.null_count else out
+
+
 def words_sql(text: str) -> str:
     """The same for DuckDB."""
     cut = f"regexp_replace({text}, ' +$', '')"

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import quoted
+from millrace.functions.text import mapped, quoted
+from millrace.operators.tokenize import Tokenizer, TokenResources
 from millrace.session import ship
 
 SEPARATOR = "_"
@@ -56,6 +59,40 @@ def tagged(text: Column, separator: str = SEPARATOR) -> Column:
     return F.array_join(F.transform(found, lambda w: F.concat(w, F.lit(separator), tag_of(w))), " ")
 
 
+def tagged_arrow(texts: pa.Array, separator: str = SEPARATOR) -> pa.Array:
+    """``tagged`` of Arrow texts: each distinct word is tagged once."""
+    cut = pc.split_pattern(texts, " ")
+    words = cut.flatten().dictionary_encode()
+    own, names = words.dictionary, list(dict.fromkeys([*LEXICON, *(t for _, t in RULES), "NN"]))
+    known = {}
+    for tag, members in LEXICON.items():
+        for w in members:
+            known.setdefault(w, names.index(tag))
+    places = pc.index_in(own, pa.array(list(known), pa.string())).fill_null(-1).to_numpy()
+    tags = np.append(np.array(list(known.values())), -1)[places]
+    for pattern, tag in RULES:
+        found = pc.match_substring_regex(own, pattern).to_numpy(zero_copy_only=False)
+        tags[found & (tags < 0)] = names.index(tag)
+    tags[tags < 0] = names.index("NN")
+    values = pc.binary_join_element_wise(own, pa.array(names, pa.string()).take(pa.array(tags)), separator)
+    return mapped(cut, words.indices.to_numpy(), pc.if_else(pc.equal(own, ""), "", values))
+
+
+def tagger(spark: SparkSession, res: TokenResources | None = None):
+    """A column function: struct (tokens, tagged) of a text."""
+    ship(spark)
+    res = res or TokenResources()
+
+    @F.arrow_udf("tokens string, tagged string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokenizer = Tokenizer(res)
+        for texts in batches:
+            tokens = tokenizer.lines(texts)
+            yield pa.StructArray.from_arrays([tokens, tagged_arrow(tokens)], ["tokens", "tagged"])
+
+    return run
+
+
 def pairs(text: Column) -> Column:
     """Array of (word, tag)."""
     found = F.filter(F.split(text, " "), lambda w: w != "")

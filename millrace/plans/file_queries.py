@@ -10,12 +10,12 @@ from millrace.functions.register import register
 from millrace.functions.text import utf16_length_sql
 from millrace.operators import clean as cleaning
 from millrace.operators import langid
-from millrace.operators.pos import tagged
+from millrace.operators.pos import tagger
 from millrace.operators.segment import SegmentResources, segment, segments_exact_sql, with_capitals
 from millrace.operators.sources import lines, source_index
-from millrace.operators.tokenize import TokenResources, tokenize_exact, tokens_native, tokens_sql
+from millrace.operators.tokenize import TokenResources, tokenize_exact, tokens_sql
 from millrace.plans import queries as core
-from millrace.session import materialise, new_path
+from millrace.session import materialise, new_path, spread
 from millrace.sources import resources as res
 from millrace.sources import text as files
 from millrace.streaming import flows
@@ -89,7 +89,8 @@ def q_language_files(spark: Spark, sf: str) -> Frame:
 
 def q_pos_files(spark: Spark, sf: str) -> Frame:
     path = new_path(spark, "tags")
-    files.write_framed(core._lines(spark, sf).select("doc_id", tagged(tokens_native(F.col("text"))).alias("text")), path, source_id="doc_id")
+    rows = core._lines(spark, sf).select("doc_id", tagger(spark)(F.col("text")).alias("t")).select("doc_id", F.col("t.tagged").alias("text"))
+    files.write_framed(rows, path, source_id="doc_id")
     return files.read_framed(spark, path).select(F.col("text").alias("tagged"), F.col("source_id").alias("doc_id"))
 
 
@@ -187,8 +188,8 @@ def q_stream_windows(spark: Spark, sf: str) -> Frame:
 
 def q_stream_sentences(spark: Spark, sf: str) -> Frame:
     """Clean, tokenised sentences of the documents as a stream."""
-    schema = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").schema
-    found = flows.sentences(flows.read_documents(spark, _glob(sf, "documents"), schema).select("doc_id", "source", "text"))
+    docs = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet")
+    found = flows.sentences(spread(flows.read_documents(spark, _glob(sf, "documents"), docs.schema).select("doc_id", "source", "text"), docs))
     return _streamed(found.select("doc_id", "line_idx", "seg", "tokens"), new_path(spark, "stream"))
 
 
@@ -196,8 +197,8 @@ def q_sql_functions(spark: Spark, sf: str) -> Frame:
     """first_rule, tokenize and segment by their SQL names."""
     register(spark)
     core._lines(spark, sf).createOrReplaceTempView("millrace_lines")
-    return spark.sql("""SELECT doc_id, line_idx, coalesce(first_rule(text), 0) AS rule_id, CAST(s.seg AS BIGINT) AS seg, tokenize(s.sentence) AS tokens
-                        FROM millrace_lines, LATERAL segment(text) s""")
+    return spark.sql("""SELECT doc_id, line_idx, rule_id, CAST(s.seg AS BIGINT) AS seg, tokenize(s.sentence) AS tokens
+                        FROM (SELECT *, coalesce(first_rule(text), 0) AS rule_id FROM millrace_lines), LATERAL segment(text) s""")
 
 
 QUERIES = {k[2:]: v for k, v in list(globals().items()) if k.startswith("q_")}

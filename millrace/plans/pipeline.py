@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import utf16_length
 from millrace.operators.clean import clean
-from millrace.operators.pos import tagged
+from millrace.operators.pos import tagger
 from millrace.operators.segment import SegmentResources, segment
 from millrace.operators.sources import lines, sentence_id, source_index, with_source_id
-from millrace.operators.tokenize import tokens_native
 from millrace.sources.resources import RULES, Rule
 
 
@@ -26,8 +25,8 @@ def sentences(df: DataFrame, metadata: str, res: SegmentResources | None = None)
 
 def finish(rows: DataFrame) -> DataFrame:
     """Tokens, tags and lengths of clean sentences."""
-    tokens = rows.withColumn("tokens", tokens_native(F.col("text")))
-    return tokens.withColumn("tagged", tagged(F.col("tokens"))).withColumn("n_chars", utf16_length(F.col("text")))
+    done = rows.withColumn("__done", tagger(rows.sparkSession)(F.col("text")))
+    return done.select(*rows.columns, "__done.tokens", "__done.tagged", utf16_length(F.col("text")).alias("n_chars"))
 
 
 def segment_first(df: DataFrame, metadata: str = "source", rules: Mapping[int, Rule] = RULES) -> DataFrame:

@@ -80,10 +80,11 @@ def size_of(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, like: DataFrame | None = None) -> DataFrame:
     """``df``, a table just read, dealt out to all cores where it is so small that its row groups (of ``ROW_GROUP`` bytes) may be
     fewer than these, and large enough to be worth it; otherwise as it is. A file's splits don't tell: those without the start of a
-    row group are empty. Meant for before costly row-local steps."""
-    cores, size = df.sparkSession.sparkContext.defaultParallelism, size_of(df)
+    row group are empty. Meant for before costly row-local steps. like: the same table where ``df`` is a stream of it, of which Spark
+    has no estimate."""
+    cores, size = df.sparkSession.sparkContext.defaultParallelism, size_of(df if like is None else like)
     wanted = min(cores, size // SPREAD_BYTES)
     return df.repartition(wanted) if wanted > 1 and size < cores * ROW_GROUP else df

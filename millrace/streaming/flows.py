@@ -12,7 +12,7 @@ from millrace.operators.clean import clean
 from millrace.operators.langid import identify
 from millrace.operators.segment import segment
 from millrace.operators.sources import lines
-from millrace.operators.tokenize import tokens_native
+from millrace.operators.tokenize import TokenResources, tokenize_udf
 
 
 def read_documents(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 16) -> DataFrame:
@@ -23,7 +23,7 @@ def read_documents(spark: SparkSession, path: str, schema: str, files_per_trigge
 def sentences(stream: DataFrame, metadata: str = "source") -> DataFrame:
     """Clean, tokenised sentences; stateless. Source ids are hashes of the metadata, as a stream has no dense order."""
     rows = segment(lines(stream.withColumn("source_id", F.xxhash64(metadata))))
-    return clean(rows).withColumn("tokens", tokens_native(F.col("text")))
+    return clean(rows).withColumn("tokens", tokenize_udf(stream.sparkSession, TokenResources())(F.col("text")))
 
 
 def counts_by_window(stream: DataFrame, time_col: str, late: str = "10 minutes", width: str = "1 hour", by: str = "event_type") -> DataFrame:

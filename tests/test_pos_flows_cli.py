@@ -87,3 +87,18 @@ def test_command_line(spark, tmp_path):
     (tmp_path / "words" / "eng.words").write_text("10\n5\tthe\n")
     cli.main(["langid", "-i", at("cl"), "-o", at("lang"), "--word-lists", at("words"), "--log", at("log")], spark)
     assert {r.lang for r in spark.read.parquet(at("lang")).collect()} == {"eng"}
+
+
+def test_a_stream_of_one_row_group_is_dealt_out(spark, tmp_path):
+    from millrace.session import SPREAD_BYTES, spread
+    from millrace.streaming import flows
+
+    docs = spark.range(4000).selectExpr("id AS doc_id", "'a' AS source", "repeat(sha2(cast(id AS string), 512), 16) AS text")
+    docs.coalesce(1).write.parquet(str(tmp_path / "docs"))
+    table = spark.read.parquet(str(tmp_path / "docs"))
+    stream = spread(flows.read_documents(spark, str(tmp_path / "doc[s]"), table.schema), table)
+    parts = []
+    run = stream.writeStream.foreachBatch(lambda df, n: parts.append((df.rdd.getNumPartitions(), df.count()))).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    size = sum(f.stat().st_size for f in (tmp_path / "docs").glob("*.parquet"))
+    assert parts == [(min(spark.sparkContext.defaultParallelism, size // SPREAD_BYTES), 4000)] and parts[0][0] > 1 or size < 2 * SPREAD_BYTES
