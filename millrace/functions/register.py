@@ -5,12 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import udtf
 
-from millrace.operators.segment import SegmentResources, segment_text
+from millrace.operators.segment import segments_udf
 from millrace.operators.tokenize import TokenResources, tokenize_udf
 from millrace.session import ship
-from millrace.sources.resources import ENTITIES, RULES, Rule, rejected_characters
+from millrace.sources.resources import ENTITIES, RULES, Rule, rejected_java
 
 
 def _quoted(value: str) -> str:
@@ -34,7 +33,7 @@ def _failed(rule: Rule, text: str) -> str:
         left = _size(f"translate({text}, {_quoted(rule.chars)}, '')")
         parts.append(f"CAST({_size(text)} / ({left} + 1) AS FLOAT) > CAST({rule.ratio} AS FLOAT)" if rule.ratio else f"{_size(text)} - {left} >= {rule.count}")
     if rule.hex_pattern:
-        parts.append(f"rlike({text}, {_quoted(rejected_characters(rule.hex_pattern))})")
+        parts.append(f"rlike({text}, {_quoted(rejected_java(rule.hex_pattern))})")
     return " AND ".join(parts)
 
 
@@ -43,16 +42,9 @@ def register(spark: SparkSession) -> None:
     sentence), with the default resources. first_rule and replace_entities are SQL functions, which the optimiser inlines."""
     ship(spark)
 
-    @udtf(returnType="seg int, sentence string")
-    class Segment:
-        def __init__(self):
-            self.res = SegmentResources()
-
-        def eval(self, text: str):
-            yield from enumerate(segment_text(text, self.res) if text else [])
-
     spark.udf.register("tokenize", tokenize_udf(spark, TokenResources()))
-    spark.udtf.register("segment", Segment)
+    spark.udf.register("millrace_segments", segments_udf(spark))
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION segment(text STRING) RETURNS TABLE(seg INT, sentence STRING) RETURN SELECT pos, col FROM posexplode(millrace_segments(text))")
     cases = " ".join(f"WHEN {_failed(r, 'text')} THEN {n}" for n, r in sorted(RULES.items()))
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION first_rule(text STRING) RETURNS INT RETURN CASE {cases} END")
     new = reduce(lambda c, kv: f"replace({c}, {_quoted(kv[0])}, {_quoted(kv[1])})", ENTITIES.items(), "text")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import quoted, utf16_length, utf16_length_sql
-from millrace.sources.resources import ENTITIES, RULES, Rule, rejected_characters
+from millrace.sources.resources import ENTITIES, RULES, Rule, rejected_characters, rejected_java
 
 
 def failed(rule: Rule, text: Column) -> Column:
@@ -29,7 +29,7 @@ def failed(rule: Rule, text: Column) -> Column:
         else:
             parts.append(utf16_length(text) - left >= rule.count)
     if rule.hex_pattern:
-        parts.append(text.rlike(rejected_characters(rule.hex_pattern)))
+        parts.append(text.rlike(rejected_java(rule.hex_pattern)))
     return reduce(and_, parts)
 
 

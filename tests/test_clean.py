@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import clean as C
-from millrace.sources.resources import CZECH, LONGER, RULES, WEB, merged_rules
+from millrace.sources.resources import CZECH, LONGER, RULES, WEB, merged_rules, rejected_characters, rejected_java
 
 GOOD = "This is a decent sentence of some words."
 HITS = {
@@ -62,3 +62,13 @@ def test_hits_and_report(spark):
     assert sum(r.hits for r in C.rule_report(rows).collect()) == len(HITS)
     empty = rows.where("false")
     assert all(r.hits == 0 for r in C.rule_hits(empty).collect()) and C.clean(empty).count() == 0
+
+
+def test_the_class_for_java_is_the_same(spark):
+    """All characters below U+10000 by both forms of the rule's class, and by the rule; only one of the forms tries each range on ASCII."""
+    own = RULES[25].hex_pattern
+    assert rejected_java(own).count("&&") == 1 and rejected_java("c2ad").count("&&") == 1
+    rows = spark.range(1, 0x10000).where("id < 55296 OR id >= 57344").select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c"))
+    for p in (own, "c2ad", "(5e)|(7f)"):
+        assert rows.where(F.col("c").rlike(rejected_characters(p)) != F.col("c").rlike(rejected_java(p))).count() == 0
+    assert rows.where(C.failed(RULES[25], F.col("c"))).count() == rows.where(F.col("c").rlike(rejected_characters(own))).count() > 50
