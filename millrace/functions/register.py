@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import SparkSession
 
+from millrace.operators.clean import first_rule_udf
 from millrace.operators.segment import segments_udf
 from millrace.operators.tokenize import TokenResources, tokenize_udf
 from millrace.session import ship
-from millrace.sources.resources import ENTITIES, RULES, Rule, rejected_java
+from millrace.sources.resources import ENTITIES
 
 
 def _quoted(value: str) -> str:
@@ -17,35 +18,13 @@ def _quoted(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _size(text: str) -> str:
-    return f"CAST(octet_length(encode({text}, 'UTF-16BE')) / 2 AS INT)"
-
-
-def _failed(rule: Rule, text: str) -> str:
-    parts = []
-    if rule.pattern:
-        parts.append(f"rlike({text}, {_quoted(rule.pattern)})")
-    if rule.min_length:
-        parts.append(f"{_size(text)} < {rule.min_length}")
-    if rule.max_length:
-        parts.append(f"{_size(text)} > {rule.max_length}")
-    if rule.chars and (rule.ratio or rule.count):
-        left = _size(f"translate({text}, {_quoted(rule.chars)}, '')")
-        parts.append(f"CAST({_size(text)} / ({left} + 1) AS FLOAT) > CAST({rule.ratio} AS FLOAT)" if rule.ratio else f"{_size(text)} - {left} >= {rule.count}")
-    if rule.hex_pattern:
-        parts.append(f"rlike({text}, {_quoted(rejected_java(rule.hex_pattern))})")
-    return " AND ".join(parts)
-
-
 def register(spark: SparkSession) -> None:
     """Registers tokenize(text), first_rule(text), replace_entities(text) and the table function segment(text) -> (seg,
-    sentence), with the default resources. first_rule and replace_entities are SQL functions, which the optimiser inlines."""
+    sentence), with the default resources. replace_entities is an SQL function, which the optimiser inlines."""
     ship(spark)
-
     spark.udf.register("tokenize", tokenize_udf(spark, TokenResources()))
     spark.udf.register("millrace_segments", segments_udf(spark))
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION segment(text STRING) RETURNS TABLE(seg INT, sentence STRING) RETURN SELECT pos, col FROM posexplode(millrace_segments(text))")
-    cases = " ".join(f"WHEN {_failed(r, 'text')} THEN {n}" for n, r in sorted(RULES.items()))
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION first_rule(text STRING) RETURNS INT RETURN CASE {cases} END")
+    spark.udf.register("first_rule", first_rule_udf(spark))
     new = reduce(lambda c, kv: f"replace({c}, {_quoted(kv[0])}, {_quoted(kv[1])})", ENTITIES.items(), "text")
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION replace_entities(text STRING) RETURNS STRING RETURN {new}")

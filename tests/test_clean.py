@@ -1,3 +1,6 @@
+import random
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +75,33 @@ def test_the_class_for_java_is_the_same(spark):
     for p in (own, "c2ad", "(5e)|(7f)"):
         assert rows.where(F.col("c").rlike(rejected_characters(p)) != F.col("c").rlike(rejected_java(p))).count() == 0
     assert rows.where(C.failed(RULES[25], F.col("c"))).count() == rows.where(F.col("c").rlike(rejected_characters(own))).count() > 50
+
+
+def test_arrow_rules_are_those_of_the_sql():
+    """Each rule over its own hits and random lines, against DuckDB; lengths are in UTF-16 units, also of slices."""
+    duckdb = pytest.importorskip("duckdb")
+    rng = random.Random(2)
+    chars = "ab AB.,;:!?-/()[]<>~*\"'^|_…•™😀é×1 2­\r @#§°\t"
+    texts = [*HITS.values(), GOOD, ""] + ["".join(rng.choice(chars) for _ in range(rng.randrange(120))) for _ in range(2000)] + ["".join(rng.choice("ab c😀,") for _ in range(rng.randrange(300))) for _ in range(300)]
+    rows = pa.array(texts)
+    units = C._units(rows)
+    assert units.tolist() == [len(x.encode("utf-16-le")) // 2 for x in texts] and C._units(rows.slice(17, 100)).tolist() == units[17:117].tolist()
+    con = duckdb.connect()
+    con.register("r", pa.table({"k": list(range(len(texts))), "text": rows}))
+    for n, rule in (RULES | {23: LONGER[23], 3000: WEB[3000]}).items():
+        assert C.in_arrow(rule)
+        assert C.failed_arrow(rule, rows, units).tolist() == [x[0] for x in con.sql(f"SELECT {C.failed_sql(rule, 'text')} FROM r ORDER BY k").fetchall()], n
+    assert not C.in_arrow(CZECH[1000])
+
+
+def test_frames_and_columns_agree(spark):
+    """The frame's functions in Arrow, and the columns; rules with look-around stay columns."""
+    rows = spark.createDataFrame([(t,) for t in [*HITS.values(), GOOD, None, ""]], "text string")
+    for rules in (RULES, merged_rules(RULES, CZECH)):
+        by_column = rows.where("length(text) > 0").select("text", C.first_rule(F.col("text"), rules).alias("r")).collect()
+        assert {r.text: r.rule_id for r in C.rejects(rows, rules).collect()} == {r.text: r.r for r in by_column if r.r}
+        assert [r.text for r in C.clean(rows, rules).collect()] == [r.text for r in by_column if not r.r]
+        own = rows.select(*[F.coalesce(F.sum(C.failed(r, F.col("text")).cast("long")), F.lit(0)).alias(str(n)) for n, r in rules.items()]).first().asDict()
+        assert {str(r.rule_id): r.hits for r in C.rule_hits(rows, rules).collect()} == own
+    plan = C.rule_hits(rows)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "RLIKE" not in plan
